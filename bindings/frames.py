@@ -24,6 +24,7 @@ TUNED = Params(
     as_of=TRIAL.as_of,
     cycle_gap_minutes=720,
     cycle_abandon_days=2,
+    min_demand_events=3,
     trend_ratio=1.0,
     trend_min_base_views=1,
 )
