@@ -31,9 +31,19 @@ from orderloom.sources.schemas import ENVELOPE
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Written copies of the enriched spine, one per session and input folder. The spine feeds most
-# models, so like any table it is built once and read many times.
-_spines: dict[tuple[str, str], DataFrame] = {}
+# Written tables, one per session, input folder and name: the source tables as landed, and the
+# enriched spine, which feeds most models. Like any table they are built once and read often.
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+SOURCES = {
+    "raw_events": frames.raw_events,
+    "inv_snap": frames.wms_inv_snap,
+    "prtmst": frames.wms_prtmst,
+    "prtdsc": frames.wms_prtdsc,
+    "admin_users": frames.admin_users,
+    "category": frames.category,
+    "category_aliases": frames.category_aliases,
+}
 
 
 def query(build: Query) -> Query:
@@ -48,8 +58,31 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         self.seed = frames.seeds(spark)
 
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            _written[key] = tables.materialise(build(), name)
+        return _written[key]
+
+    def source(self, name: str) -> DataFrame:
+        """A source table derived from the given tables.
+
+        The given files hold one row group each, which is one task; landing spreads the rows
+        when there are fewer tasks than cores.
+        """
+
+        def land() -> DataFrame:
+            df = SOURCES[name](self.spark, self.sf_dir)
+            cores = self.spark.sparkContext.defaultParallelism
+            return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+        return self._once(name, land)
+
+    def wms(self, name: str) -> DataFrame:
+        return staging.stage_wms(name, self.source(name))
+
     def staged(self) -> DataFrame:
-        return staging.stage_events(frames.raw_events(self.spark, self.sf_dir))
+        return staging.stage_events(self.source("raw_events"))
 
     def decoded(self) -> DataFrame:
         return events.decode_events(self.staged(), self.seed["app_sources"])
@@ -63,28 +96,24 @@ class Inputs:
         )
 
     def spine(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _spines:
-            _spines[key] = tables.materialise(self.enriched(), "spine")
-        return _spines[key]
+        return self._once("spine", self.enriched)
 
     def inventory(self) -> DataFrame:
-        snaps = frames.wms_inv_snap(self.spark, self.sf_dir)
-        return supply.inventory_daily(staging.stage_wms("inv_snap", snaps))
+        return supply.inventory_daily(self.wms("inv_snap"))
 
     def items(self) -> DataFrame:
         return supply.items(
-            staging.stage_wms("prtmst", frames.wms_prtmst(self.spark, self.sf_dir)),
-            staging.stage_wms("prtdsc", frames.wms_prtdsc(self.spark, self.sf_dir)),
-            self.seed["jdawms_code_descriptions"],
+            self.wms("prtmst"), self.wms("prtdsc"), self.seed["jdawms_code_descriptions"]
         )
 
     def admin_users(self) -> DataFrame:
-        return staging.stage_admin_users(frames.admin_users(self.spark, self.sf_dir))
+        return staging.stage_admin_users(self.source("admin_users"))
 
     def categories(self) -> DataFrame:
-        staged = staging.stage_category(frames.category(self.spark, self.sf_dir))
-        return staged.select(F.col("entity_id").cast("string").alias("category_id"), "category_name")
+        staged = staging.stage_category(self.source("category"))
+        return staged.select(
+            F.col("entity_id").cast("string").alias("category_id"), "category_name"
+        )
 
     def demand_daily(self) -> DataFrame:
         return demand.item_demand_daily(self.spine(), TRIAL)
@@ -108,7 +137,7 @@ class Inputs:
 @query
 def flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events packed into pages of the API's JSON and unnested again."""
-    raw = frames.raw_events(spark, sf_dir)
+    raw = Inputs(spark, sf_dir).source("raw_events")
     page = F.floor(F.col("entity_id") / 100)
     event = F.struct(
         *[
@@ -145,28 +174,28 @@ def stg_admin_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stg_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_category(frames.category(spark, sf_dir))
+    return staging.stage_category(Inputs(spark, sf_dir).source("category"))
 
 
 @query
 def stg_wms_inv_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_wms("inv_snap", frames.wms_inv_snap(spark, sf_dir))
+    return Inputs(spark, sf_dir).wms("inv_snap")
 
 
 @query
 def stg_wms_prtmst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_wms("prtmst", frames.wms_prtmst(spark, sf_dir))
+    return Inputs(spark, sf_dir).wms("prtmst")
 
 
 @query
 def stg_wms_prtdsc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_wms("prtdsc", frames.wms_prtdsc(spark, sf_dir))
+    return Inputs(spark, sf_dir).wms("prtdsc")
 
 
 @query
 def parse_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsing functions over every raw event, one column each."""
-    return frames.raw_events(spark, sf_dir).select(
+    return Inputs(spark, sf_dir).source("raw_events").select(
         "entity_id",
         "updated_at",
         text.kv_value("response", "increment_id").alias("kv_increment_id"),
@@ -230,7 +259,7 @@ def cycle_dominant_app(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event fact after a first load and a second batch of updated events."""
     inputs = Inputs(spark, sf_dir)
-    raw = frames.raw_events(spark, sf_dir)
+    raw = Inputs(spark, sf_dir).source("raw_events")
     revised = F.col("updated_at") > F.col("created_at")
 
     def fact(part: DataFrame) -> DataFrame:
@@ -373,7 +402,7 @@ def unmatched_demand_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events before staging hold some ids twice."""
-    return checks.unique(frames.raw_events(spark, sf_dir), "entity_id")
+    return checks.unique(Inputs(spark, sf_dir).source("raw_events"), "entity_id")
 
 
 @query
@@ -385,7 +414,7 @@ def check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = quality.ACCEPTED["events_decoded", "source_code"]
-    return checks.accepted_values(frames.raw_events(spark, sf_dir), "source", accepted)
+    return checks.accepted_values(Inputs(spark, sf_dir).source("raw_events"), "source", accepted)
 
 
 @query
@@ -399,7 +428,7 @@ def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def check_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock snapshots before the daily dedupe repeat their item, warehouse and day."""
-    staged = staging.stage_wms("inv_snap", frames.wms_inv_snap(spark, sf_dir))
+    staged = Inputs(spark, sf_dir).wms("inv_snap")
     days = staged.withColumn("snapshot_date", clock.day("gendte"))
     return checks.unique_combination(days, ["prtnum", "prt_client_id", "wh_id", "snapshot_date"])
 
@@ -421,7 +450,7 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fct_orders": orders.fct_orders(spine),
         "inventory_daily": inputs.inventory(),
         "items": inputs.items(),
-        "wms_prtmst": staging.stage_wms("prtmst", frames.wms_prtmst(spark, sf_dir)),
+        "wms_prtmst": Inputs(spark, sf_dir).wms("prtmst"),
         "event_codes": inputs.seed["event_codes"],
     }
     return checks.check_summary(quality.declared_checks(models))
@@ -429,11 +458,12 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = Inputs(spark, sf_dir)
     sources = {
-        "system_event_log": frames.raw_events(spark, sf_dir),
-        "inv_snap": frames.wms_inv_snap(spark, sf_dir),
-        "prtmst": frames.wms_prtmst(spark, sf_dir),
-        "prtdsc": frames.wms_prtdsc(spark, sf_dir),
+        "system_event_log": inputs.source("raw_events"),
+        "inv_snap": inputs.source("inv_snap"),
+        "prtmst": inputs.source("prtmst"),
+        "prtdsc": inputs.source("prtdsc"),
     }
     return source_freshness(sources, TRIAL)
 
@@ -483,7 +513,7 @@ def classify_category_name(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("raw_name"),
         )
     )
-    aliases = frames.category_aliases(spark, sf_dir)
+    aliases = inputs.source("category_aliases")
     return decode.classify_category_name(named, "raw_name", aliases, inputs.categories())
 
 
@@ -500,7 +530,7 @@ def decode_wms_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item master with its ABC class and units of measure spelled out."""
     inputs = Inputs(spark, sf_dir)
     codes = inputs.seed["jdawms_code_descriptions"]
-    master = staging.stage_wms("prtmst", frames.wms_prtmst(spark, sf_dir)).select(
+    master = Inputs(spark, sf_dir).wms("prtmst").select(
         "prtnum", "wh_id_tmpl", "abccod", "stkuom", "dspuom"
     )
     for column in ("abccod", "stkuom", "dspuom"):

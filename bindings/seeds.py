@@ -139,12 +139,18 @@ _TABLES: dict[str, tuple[list[str], list[tuple]]] = {
 }
 
 
+_built: dict[tuple[str, str], DataFrame] = {}
+
+
 def seed(spark: SparkSession, name: str) -> DataFrame:
     """A reference table as a local relation, whose size Catalyst knows."""
-    columns, rows = _TABLES[name]
-    return spark.createDataFrame(
-        pa.table({c: [r[i] for r in rows] for i, c in enumerate(columns)})
-    )
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _built:
+        columns, rows = _TABLES[name]
+        _built[key] = spark.createDataFrame(
+            pa.table({c: [r[i] for r in rows] for i, c in enumerate(columns)})
+        )
+    return _built[key]
 
 
 def seed_values(name: str) -> str:

@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Call-site capture for every column expression makes building wide plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
