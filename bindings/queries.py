@@ -130,6 +130,17 @@ class Inputs:
     def rep_cycles(self) -> DataFrame:
         return reps.rep_order_cycle(self.spine(), TRIAL)
 
+    # Finished tables, for the models that read them.
+
+    def mart_table(self) -> DataFrame:
+        return self._once("item_demand_supply", self.mart)
+
+    def order_cycles_table(self) -> DataFrame:
+        return self._once("fct_order_cycles", self.order_cycles)
+
+    def rep_cycles_table(self) -> DataFrame:
+        return self._once("rep_order_cycle", self.rep_cycles)
+
 
 # --- sources, staging and the spine -------------------------------------------------------------
 
@@ -259,7 +270,7 @@ def cycle_dominant_app(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event fact after a first load and a second batch of updated events."""
     inputs = Inputs(spark, sf_dir)
-    raw = Inputs(spark, sf_dir).source("raw_events")
+    raw = inputs.source("raw_events")
     revised = F.col("updated_at") > F.col("created_at")
 
     def fact(part: DataFrame) -> DataFrame:
@@ -322,22 +333,22 @@ def item_demand_supply_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missed_opportunity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.missed_opportunity(Inputs(spark, sf_dir).mart())
+    return analyses.missed_opportunity(Inputs(spark, sf_dir).mart_table())
 
 
 @query
 def missed_opportunity_4wk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.missed_opportunity_4wk(Inputs(spark, sf_dir).mart())
+    return analyses.missed_opportunity_4wk(Inputs(spark, sf_dir).mart_table())
 
 
 @query
 def promote_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.promote_candidates(Inputs(spark, sf_dir).mart())
+    return analyses.promote_candidates(Inputs(spark, sf_dir).mart_table())
 
 
 @query
 def restock_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analyses.restock_risk(Inputs(spark, sf_dir).mart())
+    return analyses.restock_risk(Inputs(spark, sf_dir).mart_table())
 
 
 # --- scorecards and journeys --------------------------------------------------------------------
@@ -348,7 +359,7 @@ def customer_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     spine = inputs.spine()
     return scorecards.customer_weekly(
-        spine, inputs.order_cycles(), orders.fct_orders(spine), TRIAL
+        spine, inputs.order_cycles_table(), orders.fct_orders(spine), TRIAL
     )
 
 
@@ -361,7 +372,7 @@ def feature_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rep_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     return scorecards.rep_weekly(
-        inputs.order_cycles(), orders.fct_orders(inputs.spine()), inputs.admin_users()
+        inputs.order_cycles_table(), orders.fct_orders(inputs.spine()), inputs.admin_users()
     )
 
 
@@ -374,7 +385,7 @@ def rep_order_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rep_order_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     return reps.rep_order_journey(
-        events.fct_events(inputs.spine()), inputs.rep_cycles(), TRIAL
+        events.fct_events(inputs.spine()), inputs.rep_cycles_table(), TRIAL
     )
 
 
@@ -435,7 +446,7 @@ def check_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_sales_code_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.missing_sales_code(Inputs(spark, sf_dir).decoded())
+    return quality.sales_code_check(Inputs(spark, sf_dir).decoded()).violations
 
 
 @query
@@ -450,7 +461,7 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fct_orders": orders.fct_orders(spine),
         "inventory_daily": inputs.inventory(),
         "items": inputs.items(),
-        "wms_prtmst": Inputs(spark, sf_dir).wms("prtmst"),
+        "wms_prtmst": inputs.wms("prtmst"),
         "event_codes": inputs.seed["event_codes"],
     }
     return checks.check_summary(quality.declared_checks(models))
@@ -530,7 +541,7 @@ def decode_wms_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item master with its ABC class and units of measure spelled out."""
     inputs = Inputs(spark, sf_dir)
     codes = inputs.seed["jdawms_code_descriptions"]
-    master = Inputs(spark, sf_dir).wms("prtmst").select(
+    master = inputs.wms("prtmst").select(
         "prtnum", "wh_id_tmpl", "abccod", "stkuom", "dspuom"
     )
     for column in ("abccod", "stkuom", "dspuom"):

@@ -48,30 +48,64 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) ->
 
 @dataclass(frozen=True)
 class Check:
+    """A named check. Checks of single rows also carry their source and condition, so that all
+    of one source are counted in one pass."""
+
     name: str
     violations: DataFrame
     severity: str = "error"
+    source: DataFrame | None = None
+    condition: Column | None = None
+    per_value: bool = False  # violations are values with their number of rows
 
     def failures(self) -> Column:
-        """Violating rows; a value without a parent counts once per row that holds it."""
-        if self.name.startswith("relationships"):
+        if self.per_value:
             return F.coalesce(F.sum(N), F.lit(0)).cast("bigint")
         return F.count(F.lit(1))
 
 
+def row_check(
+    name: str, df: DataFrame, condition: Column, severity: str = "error", columns: list[str] = ()
+) -> Check:
+    failing = df.filter(condition)
+    return Check(name, failing.select(*columns) if columns else failing, severity, df, condition)
+
+
+def not_null_check(name: str, df: DataFrame, column: str) -> Check:
+    return row_check(name, df, F.col(column).isNull())
+
+
 def check_summary(checks: list[Check]) -> DataFrame:
-    """One row per check: failing rows and pass, or the severity of the failure."""
-
-    def one(check: Check) -> DataFrame:
-        failed = F.col("failures") > 0
-        return check.violations.agg(check.failures().alias("failures")).select(
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.severity).alias("severity"),
-            "failures",
-            F.when(failed, check.severity).otherwise("pass").alias("status"),
+    """One row per check: failing rows and pass, or the severity of the failure.
+
+    Checks of single rows share one scan per source; every other check reads the columns it
+    needs and reduces them before anything is shuffled.
+    """
+
+    def rows(name: str, severity: str, failures: str | Column) -> Column:
+        failures = F.col(failures) if isinstance(failures, str) else failures
+        return F.struct(
+            F.lit(name).alias("check_name"),
+            F.lit(severity).alias("severity"),
+            failures.alias("failures"),
+            F.when(failures > 0, severity).otherwise("pass").alias("status"),
         )
 
-    return reduce(DataFrame.unionByName, [one(c) for c in checks])
+    by_source: dict[int, list[Check]] = {}
+    parts = []
+    for check in checks:
+        if check.condition is not None:
+            by_source.setdefault(id(check.source), []).append(check)
+            continue
+        counted = check.violations.agg(check.failures().alias("failures"))
+        parts.append(counted.select(rows(check.name, check.severity, "failures").alias("r")))
+    for group in by_source.values():
+        counted = group[0].source.agg(
+            *[F.count_if(c.condition).alias(f"f{i}") for i, c in enumerate(group)]
+        )
+        listed = [rows(c.name, c.severity, f"f{i}") for i, c in enumerate(group)]
+        parts.append(counted.select(F.explode(F.array(*listed)).alias("r")))
+    return reduce(DataFrame.unionByName, parts).select("r.*")
 
 
 def store_failures(checks: list[Check], folder: str) -> None:

@@ -104,8 +104,10 @@ def upsert_table(
         else:
             merged = merge_by_key(touched, fresh, key)
         merged = materialise(merged, "upsert-merged")
+    # Files by block; a rebalance splits a large block over tasks and joins small ones.
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", F.col(BLOCK))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BLOCK)
         .parquet(path)

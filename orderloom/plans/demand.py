@@ -72,11 +72,12 @@ def demand_by_day(events: DataFrame) -> DataFrame:
         "cart_qty_changes",
         "cart_add_qty",
     ]
-    per_customer = events.groupBy("activity_date", "sku", "customer_key").agg(
+    per_customer = events.groupBy("sku", "activity_date", "customer_key").agg(
         *_demand_measures(),
         F.max(F.col("actor_type") == "customer").alias("_self"),
     )
-    return per_customer.groupBy("activity_date", "sku").agg(
+    # Item first, then day: the order stock is grouped in, so that joining both moves neither.
+    return per_customer.groupBy("sku", "activity_date").agg(
         *[F.sum(m).alias(m) for m in measures],
         F.count("customer_key").alias("distinct_customers"),
         F.count(F.when(F.col("_self"), F.col("customer_key"))).alias("distinct_self_customers"),

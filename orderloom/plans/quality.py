@@ -10,8 +10,9 @@ from orderloom.functions.text import blank_to_null, whole_number
 from orderloom.operators.checks import (
     Check,
     accepted_values,
-    not_null,
+    not_null_check,
     relationships,
+    row_check,
     unique,
     unique_combination,
 )
@@ -86,11 +87,15 @@ def unmatched_demand_skus(demand_daily: DataFrame, item_master: DataFrame) -> Da
     )
 
 
-def missing_sales_code(decoded: DataFrame) -> DataFrame:
-    """Sales-application events that carry no sales code."""
+def sales_code_check(decoded: DataFrame) -> Check:
+    """Sales-application events that carry no sales code; only a warning."""
     blank = blank_to_null(F.trim("sales_code")).isNull()
-    return decoded.filter(classify.is_sales_app("source_code") & blank).select(
-        "entity_id", "source_code", "username", "sales_code", "created_at_utc"
+    return row_check(
+        "sales_code_present",
+        decoded,
+        classify.is_sales_app("source_code") & blank,
+        "warn",
+        ["entity_id", "source_code", "username", "sales_code", "created_at_utc"],
     )
 
 
@@ -219,7 +224,7 @@ def declared_checks(models: dict[str, DataFrame]) -> list[Check]:
         for column in UNIQUE.get(name, []):
             out.append(Check(f"unique_{name}_{column}", unique(df, column)))
         for column in NOT_NULL.get(name, []):
-            out.append(Check(f"not_null_{name}_{column}", not_null(df, column)))
+            out.append(not_null_check(f"not_null_{name}_{column}", df, column))
         if name in COMBINATION:
             out.append(
                 Check(f"unique_combination_{name}", unique_combination(df, COMBINATION[name]))
@@ -231,7 +236,9 @@ def declared_checks(models: dict[str, DataFrame]) -> list[Check]:
     for (name, column), (parent, field, severity) in RELATIONSHIPS.items():
         if name in models and parent in models:
             bad = relationships(models[name], column, models[parent], field)
-            out.append(Check(f"relationships_{name}_{column}", bad, severity))
+            out.append(
+                Check(f"relationships_{name}_{column}", bad, severity, per_value=True)
+            )
     for table, spec in WMS.items():
         name = f"wms_{table}"
         if name not in models:
@@ -239,18 +246,16 @@ def declared_checks(models: dict[str, DataFrame]) -> list[Check]:
         grain = list(spec.grain)
         if len(grain) == 1:
             out.append(Check(f"unique_{name}_{grain[0]}", unique(models[name], grain[0]), "warn"))
-            out.append(
-                Check(f"not_null_{name}_{grain[0]}", not_null(models[name], grain[0]))
-            )
+            out.append(not_null_check(f"not_null_{name}_{grain[0]}", models[name], grain[0]))
         else:
             repeated = unique_combination(models[name], grain)
             out.append(Check(f"unique_combination_{name}", repeated, "warn"))
         if spec.parent and f"wms_{spec.parent[1]}" in models:
             column, parent, field = spec.parent
             orphans = relationships(models[name], column, models[f"wms_{parent}"], field)
-            out.append(Check(f"relationships_{name}_{column}", orphans, "warn"))
+            out.append(
+                Check(f"relationships_{name}_{column}", orphans, "warn", per_value=True)
+            )
     if "events_decoded" in models:
-        out.append(
-            Check("sales_code_present", missing_sales_code(models["events_decoded"]), "warn")
-        )
+        out.append(sales_code_check(models["events_decoded"]))
     return out
