@@ -89,7 +89,7 @@ class Inputs:
 
     def enriched(self) -> DataFrame:
         return events.enrich_events(
-            self.decoded(),
+            self.decoded_table(),
             self.seed["event_codes"],
             self.seed["app_sources"],
             self.seed["system_accounts"],
@@ -132,6 +132,9 @@ class Inputs:
 
     # Finished tables, for the models that read them.
 
+    def decoded_table(self) -> DataFrame:
+        return self._once("events_decoded", self.decoded)
+
     def mart_table(self) -> DataFrame:
         return self._once("item_demand_supply", self.mart)
 
@@ -238,7 +241,7 @@ def events_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fct_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.fct_events(Inputs(spark, sf_dir).enriched())
+    return events.fct_events(Inputs(spark, sf_dir).spine())
 
 
 @query
@@ -401,7 +404,7 @@ def quarantine_invalid_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def unmapped_event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
-    return quality.unmapped_event_codes(inputs.decoded(), inputs.seed["event_codes"])
+    return quality.unmapped_event_codes(inputs.decoded_table(), inputs.seed["event_codes"])
 
 
 @query
@@ -432,7 +435,10 @@ def check_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     return checks.relationships(
-        inputs.decoded(), "description_code", inputs.seed["event_codes"], "description_code"
+        inputs.decoded_table(),
+        "description_code",
+        inputs.seed["event_codes"],
+        "description_code",
     )
 
 
@@ -446,7 +452,7 @@ def check_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_sales_code_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.sales_code_check(Inputs(spark, sf_dir).decoded()).violations
+    return quality.sales_code_check(Inputs(spark, sf_dir).decoded_table()).violations
 
 
 @query
@@ -456,7 +462,7 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = inputs.spine()
     models = {
         "stg_event_log": inputs.staged(),
-        "events_decoded": inputs.decoded(),
+        "events_decoded": inputs.decoded_table(),
         "events_enriched": spine,
         "fct_orders": orders.fct_orders(spine),
         "inventory_daily": inputs.inventory(),
@@ -531,7 +537,7 @@ def classify_category_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_warn_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
-    return decode.drop_warn_codes(inputs.decoded(), inputs.seed["warn_event_codes"]).select(
+    return decode.drop_warn_codes(inputs.decoded_table(), inputs.seed["warn_event_codes"]).select(
         "entity_id", "description_code", "created_at_utc"
     )
 

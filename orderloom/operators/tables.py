@@ -12,10 +12,17 @@ BLOCK = "_block"
 _EPOCH = "1900-01-01"
 
 
-def rebuild(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a table as a whole and read it back."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+def rebuild(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Replace a table as a whole and read it back.
+
+    With a partition column the rows are rebalanced by it first: a large partition is split
+    over tasks, small ones share a task, and neither leaves a file per task and partition.
+    """
+    if partition_by:
+        spread = df.hint("rebalance", F.col(partition_by))
+        spread.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -28,15 +35,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def trailing_window(
-    source: DataFrame, target: DataFrame, source_ts: str, target_ts: str, days: int = 3
+    source: DataFrame,
+    target: DataFrame,
+    source_ts: str,
+    target_ts: str,
+    days: int = 3,
+    source_day: str | None = None,
 ) -> DataFrame:
     """Source rows no older than `days` before the newest target row; all for an empty target.
 
-    The anchor is a scalar subquery: one row, reduced on the executors.
+    The anchor is a scalar subquery: one row, reduced on the executors. If the source is
+    partitioned by the day of its timestamp, naming that column skips the older partitions.
     """
     newest = F.coalesce(F.max(target_ts), F.lit(_EPOCH).cast("timestamp"))
     anchor = target.agg(F.timestamp_add("DAY", F.lit(-days), newest)).scalar()
-    return source.filter(F.col(source_ts) >= anchor)
+    recent = source.filter(F.col(source_ts) >= anchor)
+    return recent.filter(F.col(source_day) >= anchor.cast("date")) if source_day else recent
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

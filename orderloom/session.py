@@ -15,6 +15,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # HotSpot compiles no method above 8000 bytes of bytecode; a stage that would generate one
+    # runs faster as separate operators than interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call-site capture for every column expression makes building wide plans slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -35,6 +38,8 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Small trial data would otherwise be coalesced into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     for key, value in {**REQUIRED, **RECOMMENDED}.items():
