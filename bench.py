@@ -1,9 +1,9 @@
 """Times the headline queries and prints one JSON line.
 
-Each query is built and run to its last row with the no-op sink. The source tables, the
-decoded events and the enriched spine are written once, as tables of their own, and their times are listed as
-`land_sources`, `decoded_table` and `spine`; the models read them.
-Queries run twice and the second time counts, so that code generation of a fresh JVM does not.
+Each query is built and run to its last row with the no-op sink. The source tables, the decoded
+events and the enriched spine are written once, as tables of their own, and their times are
+listed as `land_sources`, `decoded_table` and `spine`; the models read them. Queries run twice
+and the second time counts, so that code generation of a fresh JVM does not.
 """
 
 from __future__ import annotations

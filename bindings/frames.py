@@ -179,9 +179,9 @@ def _template_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = F.array(F.lit("----"), F.lit("CABOT"))
     return table(spark, sf_dir, "part").select(
         "*",
-        F.explode(F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("----"))).otherwise(both)).alias(
-            "template"
-        ),
+        F.explode(
+            F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit("----"))).otherwise(both)
+        ).alias("template"),
     )
 
 

@@ -1123,6 +1123,30 @@ LEFT JOIN seed_jdawms_code_descriptions s ON s.code_domain = 'uomcod' AND s.code
 LEFT JOIN seed_jdawms_code_descriptions d ON d.code_domain = 'uomcod' AND d.code_value = dspuom
 """)
 
+# --- streams ------------------------------------------------------------------------------------
+
+step("stream_event_upsert", "SELECT * FROM stg_event_log")
+step(
+    "stream_bursts",
+    """
+SELECT customer_key, started_at_utc, ended_at_utc, event_count,
+       date_diff('minute', started_at_utc, ended_at_utc) AS burst_minutes
+FROM (SELECT customer_key, min(event_at_utc) AS started_at_utc, max(event_at_utc) AS ended_at_utc,
+             count(*) AS event_count
+      FROM (SELECT *, count(*) FILTER (event_at_utc - before_at > INTERVAL 60 MINUTE) OVER (
+                PARTITION BY customer_key ORDER BY event_at_utc, entity_id) AS session
+            FROM cycle_numbers)
+      GROUP BY customer_key, session)
+WHERE ended_at_utc + INTERVAL 60 MINUTE + INTERVAL 3 DAY
+      <= (SELECT max(event_at_utc) FROM cycle_numbers)
+""",
+)
+step("stream_daily_demand", """
+SELECT activity_date, sku, item_detail_views, image_enlarge_views, cart_adds, cart_removes,
+       cart_qty_changes, cart_add_qty
+FROM item_demand_daily
+""")
+
 # Queries whose step goes by another name.
 ALIASES = {
     "cycle_bursts": "cycle_bursts_tuned",

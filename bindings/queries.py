@@ -24,9 +24,11 @@ from orderloom.plans import (
     staging,
     supply,
 )
+from orderloom.session import shared_dir
 from orderloom.sources import readers
 from orderloom.sources.freshness import source_freshness
 from orderloom.sources.schemas import ENVELOPE
+from orderloom.streaming import event_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,3 +555,35 @@ def decode_wms_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     for column in ("abccod", "stkuom", "dspuom"):
         master = decode.decode_wms_code(master, column, codes)
     return master
+
+
+# --- streams: each reads the landed files as a stream, runs to their end and shows its table ----
+
+
+def _stream(written: DataFrame) -> DataFrame:
+    folder = written.inputFiles()[0].rsplit("/", 1)[0]
+    return event_streams.read_event_stream(written.sparkSession, folder)
+
+
+@query
+def stream_event_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = Inputs(spark, sf_dir).source("raw_events")
+    target, state = shared_dir(spark, "stream-events"), shared_dir(spark, "stream-state")
+    event_streams.stream_event_upsert(_stream(raw), target, state).awaitTermination()
+    return tables.read_upserted(spark, target)
+
+
+@query
+def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine = Inputs(spark, sf_dir).spine()
+    target, state = shared_dir(spark, "stream-bursts"), shared_dir(spark, "stream-state")
+    event_streams.stream_bursts(_stream(spine), target, state, TRIAL).awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query
+def stream_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine = Inputs(spark, sf_dir).spine()
+    target, state = shared_dir(spark, "stream-demand"), shared_dir(spark, "stream-state")
+    event_streams.stream_daily_demand(_stream(spine), target, state, TRIAL).awaitTermination()
+    return tables.read_upserted(spark, target).drop("day_item", "approx_customers")

@@ -112,7 +112,9 @@ def is_submit() -> Column:
 
 def cycle_status(submitted: Column, idle_days: Column, abandon_days: int) -> Column:
     return (
-        F.when(submitted, "submitted").when(idle_days >= abandon_days, "abandoned").otherwise("open")
+        F.when(submitted, "submitted")
+        .when(idle_days >= abandon_days, "abandoned")
+        .otherwise("open")
     )
 
 

@@ -50,11 +50,15 @@ def decode_app_category(
         F.when(real, F.col("ust_category_id")).alias("_id"),
         F.col("category_name").alias("_name"),
     ]
-    either = (
-        app_codes.select(F.col("app_category_code").alias("_key"), F.lit(0).alias("_by"), *described)
-        .unionByName(
-            app_codes.select(F.col("app_id").alias("_key"), F.lit(1).alias("_by"), *described)
+
+    def keyed(code: str, priority: int) -> DataFrame:
+        return app_codes.select(
+            F.col(code).alias("_key"), F.lit(priority).alias("_by"), *described
         )
+
+    either = (
+        keyed("app_category_code", 0)
+        .unionByName(keyed("app_id", 1))
         .filter(F.col("_key").isNotNull())
     )
     lookup = latest_per_key(either, ["_key"], [F.col("_by").asc()]).drop("_by")

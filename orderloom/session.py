@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Streamed sessions of one key are merged before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # HotSpot compiles no method above 8000 bytes of bytecode; a stage that would generate one
     # runs faster as separate operators than interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -21,9 +21,8 @@ from orderloom.plans.staging import stage_events
 def read_event_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """Raw events from a folder that parquet files are added to."""
     schema = spark.read.parquet(folder).schema
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def stream_event_upsert(raw: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

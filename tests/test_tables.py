@@ -4,8 +4,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from bindings import frames
-from bindings.queries import Inputs
-from orderloom.functions import clock
 from orderloom.operators import checks, decode, tables
 from orderloom.params import Params
 from orderloom.plans import cycles, demand, events, quality, staging
