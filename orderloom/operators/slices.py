@@ -16,8 +16,8 @@ from orderloom.functions.text import col
 SLICE = "_slice"
 
 
-def slice_of(ts: Column | str, hours: int) -> Column:
-    return F.floor(F.unix_seconds(col(ts)) / (hours * 3600))
+def slice_of(ts: Column | str, minutes: int) -> Column:
+    return F.floor(F.unix_seconds(col(ts)) / (minutes * 60))
 
 
 def within_slice(keys: list[str], *order: Column | str) -> WindowSpec:

@@ -27,7 +27,7 @@ class Params:
     as_of: datetime | None = None
 
     # Width of the time slices that split one key's event sequence over several tasks.
-    slice_hours: int = 1
+    slice_minutes: int = 60
 
     def now(self) -> Column:
         return F.current_timestamp() if self.as_of is None else F.lit(self.as_of)

@@ -39,7 +39,7 @@ def cycle_events(enriched: DataFrame, params: Params) -> DataFrame:
             "submit_increment_id"
         ),
         F.when(edit, list_part("response", 1)).alias("cart_sku"),
-        slice_of("event_at_utc", params.slice_hours).alias(SLICE),
+        slice_of("event_at_utc", params.slice_minutes).alias(SLICE),
     )
 
 

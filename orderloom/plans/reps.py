@@ -140,7 +140,7 @@ def rep_order_cycle(enriched: DataFrame, params: Params = Params()) -> DataFrame
         "increment_id",
         F.lit(None).cast(opens.schema["open"].dataType).alias("open"),
     )
-    marks = opens.unionByName(closes).withColumn(SLICE, slice_of("at", params.slice_hours))
+    marks = opens.unionByName(closes).withColumn(SLICE, slice_of("at", params.slice_minutes))
     looked_back = latest_before(
         marks,
         ["username", "order_customer_no"],
@@ -213,7 +213,7 @@ def rep_order_journey(
     ).select(
         "username",
         F.col("event_at_utc").alias("at"),
-        slice_of("event_at_utc", params.slice_hours).alias(SLICE),
+        slice_of("event_at_utc", params.slice_minutes).alias(SLICE),
         *[F.coalesce(c, F.lit(False)).cast("bigint").alias(n) for n, c in counters.items()],
     )
     ends = cycles.filter(F.col("username").isNotNull() & F.col("opened_at").isNotNull()).select(
@@ -230,7 +230,7 @@ def rep_order_journey(
     )
     marks = ends.select(
         "username", F.col("end.at").alias("at"), F.col("end.side").alias("side"), "cycle"
-    ).withColumn(SLICE, slice_of("at", params.slice_hours))
+    ).withColumn(SLICE, slice_of("at", params.slice_minutes))
     sequence = rep_events.withColumn("side", F.lit(0)).unionByName(
         marks, allowMissingColumns=True
     )
