@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import bounded_batches, scratch, ship, spread, table
+from orderloom.llm.common import bounded_batches, scratch, ship, table
 from orderloom.session import shared_dir
 
 ship(__name__)
@@ -278,7 +278,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "warc")
     if "://" not in folder:
         folder = f"file://{folder}"
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     index = scratch(write_bundles(pages, folder), "warc-index")
     return read_bundles(index, folder)
 
