@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from orderloom.llm.entropy_mix import op9_entropy_mix
+from orderloom.llm.hilbert_search import op8_hilbert_search
+from orderloom.llm.ngram_join import OP7_SQL, op7_ngram_join
 from orderloom.llm.url_filters import OP5_SQL, op5_url_filters
 from orderloom.llm.warc import OP1_SQL, op1_warc
 
-QUERIES = {"op1_warc": op1_warc, "op5_url_filters": op5_url_filters}
-ORACLE_SQL = {"op1_warc": OP1_SQL, "op5_url_filters": OP5_SQL}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op5_url_filters": op5_url_filters,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_hilbert_search": op8_hilbert_search,
+    "op9_entropy_mix": op9_entropy_mix,
+}
+ORACLE_SQL = {"op1_warc": OP1_SQL, "op5_url_filters": OP5_SQL, "op7_ngram_join": OP7_SQL}
