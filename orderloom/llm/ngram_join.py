@@ -50,6 +50,8 @@ ship(__name__)
 WIDTH = 5
 PERCENT = 75
 COUNTERS = 1 << 20
+# Rows of the incidence matrix that a task multiplies at a time; one column may hold more.
+GROUP_ROWS = 100_000
 
 
 def text_sets(texts: pa.Array, width: int):
@@ -88,12 +90,15 @@ def _class_size(counts: np.ndarray) -> np.ndarray:
 
 
 def incidence(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n, k1, k2, prefix): set size, two hashes of the set, its first columns in order."""
+    """(doc_id, n, k1, k2, last, prefix): set size, two hashes of the set, its first columns.
+
+    `last` is the rank of the last column of the prefix in the common order.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(_class_size(counts).astype(np.uint8))
 
     def build(batches):
         for batch in batches:
-            sizes, k1, k2, prefixes = [], [], [], []
+            sizes, k1, k2, last, prefixes = [], [], [], [], []
             for s in text_sets(batch.column("text"), width):
                 n = len(s)
                 sizes.append(n)
@@ -102,7 +107,10 @@ def incidence(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                 keep = n - -(-percent * n // 100) + 1 if n else 0
                 classes = shared.value[(s >> np.uint64(44)).astype(np.int64)]
                 # sets are sorted, so a stable sort by class orders by class, then hash
-                prefixes.append(s[np.argsort(classes, kind="stable")[:keep]].view(np.int64))
+                order = np.argsort(classes, kind="stable")[:keep]
+                prefixes.append(s[order].view(np.int64))
+                end = order[-1] if n else 0
+                last.append((int(classes[end]) << 56) + (int(s[end]) >> 8) if n else 0)
             at = np.r_[0, np.cumsum([len(x) for x in prefixes])].astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -111,27 +119,33 @@ def incidence(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                     pa.array(sizes, pa.int64()),
                     pa.array(np.array(k1, np.uint64).view(np.int64)),
                     pa.array(np.array(k2, np.uint64).view(np.int64)),
+                    pa.array(last, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                 ],
-                names=["doc_id", "n", "k1", "k2", "prefix"],
+                names=["doc_id", "n", "k1", "k2", "last", "prefix"],
             )
 
-    return texts.mapInArrow(build, "doc_id long, n long, k1 long, k2 long, prefix array<long>")
+    return texts.mapInArrow(
+        build, "doc_id long, n long, k1 long, k2 long, last long, prefix array<long>"
+    )
 
 
 def whole_groups(batches, key: str):
-    """Batches sorted by key, recut so that no key is split; a key alone in a row is dropped."""
-    held = None
+    """Batches sorted by key, joined to larger ones and recut so that no key is split."""
+    held, waiting = None, []
     for batch in batches:
-        part = pa.Table.from_batches([batch])
-        held = part if held is None else pa.concat_tables([held, part])
-        keys = np.asarray(held.column(key))
-        if len(keys) == 0:
+        waiting.append(pa.Table.from_batches([batch]))
+        if sum(t.num_rows for t in waiting) < GROUP_ROWS:
             continue
+        held = pa.concat_tables(waiting if held is None else [held, *waiting])
+        waiting = []
+        keys = np.asarray(held.column(key))
         cut = np.searchsorted(keys, keys[-1]) if keys[0] != keys[-1] else 0
         if cut:
             yield held.slice(0, cut)
             held = held.slice(cut)
+    if waiting:
+        held = pa.concat_tables(waiting if held is None else [held, *waiting])
     if held is not None and held.num_rows:
         yield held
 
@@ -213,15 +227,33 @@ def first_pairs(columns: DataFrame, percent: int) -> DataFrame:
     ).select((-F.col("best.f")).alias("a"), "b")
 
 
-def cross_pairs(columns: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose summed counts can still reach the threshold."""
-    labelled = columns.select("col", "doc_id", "n").join(roots, "doc_id", "left").select(
-        "col", "doc_id", "n", F.coalesce("root", "doc_id").alias("root")
-    )
+# `shared` of a document with several sets, to which no bound but that of sizes applies.
+UNBOUNDED = 1 << 40
+
+
+def _outside(rest, last, shared, x, y):
+    """How many columns the pairs (x, y) can share outside the multiplied ones."""
+    first = np.where(last[y] < last[x], rest[y], rest[x])
+    loose = np.maximum(shared[x], shared[y]) >= UNBOUNDED
+    return np.where(loose, np.maximum(rest[x], rest[y]), first)
+
+
+def cross_pairs(columns: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose summed counts can still reach the threshold.
+
+    `documents`: (doc_id, root, last, shared), the last being the number of the document's
+    multiplied columns that any other document holds. Of two documents, take the one whose
+    prefix ends first: the columns they share are among the multiplied ones, at most the smaller
+    `shared`, or among its other columns. Pairs for which that is too few are not counted.
+    """
+    labelled = columns.select("col", "doc_id", "n").join(documents, "doc_id")
 
     def multiply(batches):
         for t in whole_groups(batches, "col"):
-            cols, docs, n, root = (np.asarray(t.column(c)) for c in ("col", "doc_id", "n", "root"))
+            cols, docs, n, root, last, shared = (
+                np.asarray(t.column(c)) for c in ("col", "doc_id", "n", "root", "last", "shared")
+            )
+            rest = -(-percent * n // 100) - 1
             start = np.flatnonzero(np.r_[True, cols[1:] != cols[:-1]])
             lowest = np.minimum.reduceat(root, start)
             highest = np.maximum.reduceat(root, start)
@@ -230,34 +262,40 @@ def cross_pairs(columns: DataFrame, roots: DataFrame, percent: int) -> DataFrame
             for lo, hi in zip(start[lowest != highest], ends[lowest != highest]):
                 # all pairs but those inside the commonest component of the column
                 names, counts = np.unique(root[lo:hi], return_counts=True)
-                rest = root[lo:hi] != names[counts.argmax()]
-                for i in np.flatnonzero(rest):
+                lone = root[lo:hi] != names[counts.argmax()]
+                for i in np.flatnonzero(lone):
                     # n is sorted: only sets within the size bound are met
-                    near_lo = np.searchsorted(n[lo:hi], -(-percent * n[lo + i] // 100))
-                    near_hi = np.searchsorted(n[lo:hi], 100 * n[lo + i] // percent, side="right")
-                    other = np.arange(near_lo, near_hi)
-                    other = other[(root[lo + other] != root[lo + i]) & (~rest[other] | (other > i))]
-                    if len(other):
-                        a.append(np.full(len(other), lo + i))
-                        b.append(lo + other)
-                        held += len(other)
-                if held > 200_000:
-                    yield _summed(docs, n, a, b)
+                    x = lo + i
+                    first = np.searchsorted(n[lo:hi], -(-percent * n[x] // 100))
+                    end = np.searchsorted(n[lo:hi], 100 * n[x] // percent, side="right")
+                    y = np.arange(lo + first, lo + end)
+                    y = y[(root[y] != root[x]) & (~lone[y - lo] | (y > x))]
+                    other = _outside(rest, last, shared, x, y)
+                    most = np.minimum(shared[y], shared[x]) + other
+                    y = y[(100 + percent) * most >= percent * (n[x] + n[y])]
+                    if len(y):
+                        a.append(np.full(len(y), x))
+                        b.append(y)
+                        held += len(y)
+                if held > 500_000:
+                    yield _summed(docs, n, rest, last, shared, a, b)
                     a, b, held = [], [], 0
             if held:
-                yield _summed(docs, n, a, b)
+                yield _summed(docs, n, rest, last, shared, a, b)
 
     dealt = labelled.repartition("col").sortWithinPartitions("col", "n", "doc_id")
-    partial = dealt.mapInArrow(multiply, "a long, b long, an long, bn long, shared long")
+    partial = dealt.mapInArrow(multiply, "a long, b long, an long, bn long, other long, held long")
     total = partial.groupBy("a", "b").agg(
-        F.sum("shared").alias("shared"), F.first("an").alias("an"), F.first("bn").alias("bn")
+        F.sum("held").alias("held"),
+        *[F.first(c).alias(c) for c in ("an", "bn", "other")],
+    )
+    return total.where(F.col("held") + F.col("other") >= needed("an", "bn", percent)).select(
+        "a", "b"
     )
-    # n minus the columns multiplied, of the larger set
-    outside = F.ceil(F.greatest("an", "bn") * percent / F.lit(100) - 1e-9) - 1
-    return total.where(F.col("shared") + outside >= needed("an", "bn", percent)).select("a", "b")
 
 
-def _summed(docs, n, a, b) -> pa.RecordBatch:
+def _summed(docs, n, rest, last, shared, a, b) -> pa.RecordBatch:
+    """One row for each pair of rows: how many columns it shares, and what bounds the others."""
     a, b = np.concatenate(a), np.concatenate(b)
     swap = docs[a] > docs[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
@@ -265,11 +303,22 @@ def _summed(docs, n, a, b) -> pa.RecordBatch:
     a, b = a[order], b[order]
     x, y = docs[a], docs[b]
     start = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-    shared = np.diff(np.r_[start, len(x)])
+    held = np.diff(np.r_[start, len(x)])
     a, b = a[start], b[start]
+    other = _outside(rest, last, shared, a, b)
     return pa.RecordBatch.from_arrays(
-        [pa.array(v) for v in (docs[a], docs[b], n[a], n[b], shared)],
-        names=["a", "b", "an", "bn", "shared"],
+        [pa.array(v) for v in (docs[a], docs[b], n[a], n[b], other, held)],
+        names=["a", "b", "an", "bn", "other", "held"],
+    )
+
+
+def _follow(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
+    """Replaces a node by its root, where it has one."""
+    step = small(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
+    return (
+        rows.join(step, F.col(column) == F.col("_node"), "left")
+        .withColumn(column, F.coalesce("_root", column))
+        .drop("_node", "_root")
     )
 
 
@@ -288,7 +337,7 @@ def jaccard_components(
     copies = scratch(
         keyed.where("doc_id <> rep").select("doc_id", "k1", "k2", "rep").distinct(), "copies"
     )
-    reps = linkable.select("doc_id", "n", "k1", "k2", "prefix").join(
+    reps = linkable.join(
         small(copies.select("doc_id", "k1", "k2")), ["doc_id", "k1", "k2"], "left_anti"
     )
     entries = reps.select("doc_id", "n", F.posexplode("prefix").alias("at", "col"))
@@ -297,15 +346,27 @@ def jaccard_components(
     )
     rep_texts = texts.where("doc_id IS NOT NULL")
     near = scratch(exact_links(first_pairs(columns, percent), rep_texts, width, percent), "near")
-    roots = components(near).select(F.col("node").alias("doc_id"), "root")
-    rest = exact_links(cross_pairs(columns, roots, percent), rep_texts, width, percent)
-    links = near.union(rest).union(copies.select("rep", "doc_id"))
-    final = components(links)
-    return (
-        matrix.select("doc_id", F.col("n").alias("n_shingles"))
-        .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    roots = components(near)
+    shared = columns.groupBy("doc_id").agg(F.count("*").alias("shared"))
+    ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("_sets"))
+    documents = _follow(
+        shared.join(ends, "doc_id").withColumn("root", F.col("doc_id")), "root", roots
+    )
+    several = F.when(F.col("_sets") > 1, F.lit(UNBOUNDED)).otherwise(F.col("shared"))
+    documents = documents.withColumn("shared", several).drop("_sets")
+    documents = scratch(documents, "sharing")
+    rest = exact_links(cross_pairs(columns, documents, percent), rep_texts, width, percent)
+    # links between components of the first round, and between the sets of a repeated doc_id
+    sets = keyed.select("doc_id", "rep").distinct()
+    least = sets.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
+    repeated = sets.join(least.where("a <> z"), "doc_id").select("a", F.col("rep").alias("b"))
+    between = _follow(_follow(rest.union(repeated), "a", roots), "b", roots)
+    last_roots = components(between)
+    named = matrix.select("doc_id", F.col("n").alias("n_shingles")).join(
+        copies.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left"
     )
+    named = named.withColumn("component_id", F.coalesce("rep", "doc_id")).drop("rep")
+    return _follow(_follow(named, "component_id", roots), "component_id", last_roots)
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
