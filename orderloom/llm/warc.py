@@ -245,6 +245,9 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
     frames = index.groupBy("bundle", "frame").agg(
         F.collect_list(F.struct("record_at", "record_size")).alias("records")
     )
+    # rows are short but each stands for a frame to read: deal them out by number, not by bytes
+    tasks = 2 * index.sparkSession.sparkContext.defaultParallelism
+    frames = frames.repartition(max(tasks, -(-frames.count() // 256)), "bundle", "frame")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
