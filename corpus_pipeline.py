@@ -1,8 +1,101 @@
-"""A corpus pipeline over `documents`, from the operators of `orderloom.llm`."""
+"""A corpus pipeline over `documents`, from the operators of `orderloom.llm`.
 
+Each stage takes (spark, docs, sf_dir), works on all its predecessor kept, and is written as
+Parquet to the shared folder and read again as the next one's docs. All but the last return the
+columns of `documents`; the last one returns tokens in place of the text. Rows with nulls in any
+column pass through the stages as the operators' docstrings say; empty tables stay empty.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderloom.llm import entropy_mix, language_mix, ngram_join, pii_crf, piece_scan
+from orderloom.llm.common import scratch, small, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# The share that the language of a document must have in it.
+MAIN_SHARE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents with one main language and sets `lang` to it.
+
+    Rejected: texts without a letter, and texts of which no language has half.
+    """
+    found = language_mix.identify(docs.select(*COLUMNS))
+    kept = found.where(
+        (F.col("lang_pred") != language_mix.UNKNOWN) & (F.col("score") >= MAIN_SHARE)
+    )
+    return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each group of near duplicates.
+
+    Of rows that repeat a doc_id one stays. Rows without a doc_id are in no group and stay.
+    """
+    docs = docs.select(*COLUMNS)
+    found = scratch(ngram_join.jaccard_components(docs), "groups")
+    dropped = scratch(
+        found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped"
+    )
+    repeated = scratch(
+        found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+        "repeated",
+    )
+    kept = docs.join(small(dropped), "doc_id", "left_anti")
+    once = kept.join(small(repeated), "doc_id", "left_anti")
+    again = kept.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again).select(*COLUMNS)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every span of personal data by the name of its kind."""
+    found = pii_crf.find(docs.select(*COLUMNS), mask=True)
+    changed = F.when(F.col("spans") != "", F.char_length("text").cast("long"))
+    return found.withColumn("n_chars", F.coalesce(changed, F.col("n_chars"))).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents so that the words of each source meet its target."""
+    docs = docs.select(*COLUMNS)
+    copies = (
+        entropy_mix.mix(docs)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+        .agg(F.max("copies").alias("_copies"))
+        .where("_copies > 0")
+    )
+    sized = docs.withColumn("_n", entropy_mix.word_count(F.col("text")))
+    dealt = sized.join(
+        copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size"))
+    )
+    repeats = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return dealt.select(*COLUMNS, repeats.alias("_copy")).select(*COLUMNS)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every text, and the digest of what they decode to."""
+    return piece_scan.encode(docs.select(*COLUMNS))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mix_sources", mix_sources),
+    ("tokenize", tokenize),
+]
+
+# Expectation maximisation, trained fields and segmentation by score are beyond SQL.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
