@@ -23,12 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WORD, scratch, spread, table
+from orderloom.llm.common import WORD, scratch, table
 
 CAP = 3
 SALTS = 1024
 NEWTON_STEPS = 40
-STEPS_A_JOB = 8
 SETTLE_STEPS = 12
 TOLERANCE = 1e-9
 
@@ -98,7 +97,7 @@ def newton(cells: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
         F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"),
         (F.col("target") >= cap * F.col("words")).alias("done"),
     )
-    for step in range(NEWTON_STEPS):
+    for _ in range(NEWTON_STEPS):
         rate = _rate(F.col("tilt") * F.col("z"), cap)
         inside = F.exp(F.col("tilt") * F.col("z")) < cap
         sums = (
@@ -130,10 +129,10 @@ def newton(cells: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
                     .otherwise((F.greatest(F.col("low"), F.col("tilt") - 4)
                                 + F.least(F.col("high"), F.col("tilt") + 4)) / 2).alias("tilt"))
         )
-        if step % STEPS_A_JOB == STEPS_A_JOB - 1:
-            state = scratch(state, "mix-state")
-            if state.where("NOT done").isEmpty():
-                break
+        # each step is written: the state is read twice by the next one
+        state = scratch(state, "mix-state")
+        if state.where("NOT done").isEmpty():
+            break
     return state.select("source", "tilt")
 
 
@@ -222,9 +221,7 @@ def deal(sized: DataFrame, cells: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies) of every row of docs."""
     sized = scratch(
-        spread(docs.select("doc_id", "source", "text")).select(
-            "doc_id", "source", word_count(F.col("text")).alias("size")
-        ),
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
         "mix-sizes",
     )
     cells = scratch(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
