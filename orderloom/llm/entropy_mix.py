@@ -167,7 +167,7 @@ def round_cells(cells: DataFrame, goals: DataFrame, tilts: DataFrame, cap: int)
         room = F.when(F.col("_left") > 0, F.col("n") * cap - F.col("copies")).otherwise(
             F.col("copies")
         )
-        fit = F.floor(F.abs("_left") / F.col("size") + 0.5)
+        fit = F.floor(F.abs("_left") / F.col("size"))
         able = (F.col("size") > 0) & (room > 0) & (fit >= 1)
         held = held.withColumn("_pick", F.max(F.when(able, F.col("size"))).over(whole))
         moved = F.when(
