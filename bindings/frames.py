@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from bindings.seeds import seed
 from orderloom.params import Params
 from orderloom.session import prepare
+from orderloom.sources.readers import read_parquet_source
 
 TRIAL = Params(
     go_live=datetime(2024, 1, 3),
@@ -31,7 +32,7 @@ TUNED = Params(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet_source(prepare(spark), sf_dir, name)
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -43,6 +44,19 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def _datetime_text(at: Column, form: Column) -> Column:
+    """One of the forms in which applications write a time."""
+    plain = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    return (
+        F.when(form == 1, _text(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), "Z"))
+        .when(form == 2, _text(plain, "+08:00"))
+        .when(form == 3, _text(plain, ".1234567"))
+        .when(form == 4, F.date_format(at, "yyyy-M-d HH:mm:ss"))
+        .when(form == 5, F.date_format(at, "yyyy-MM-dd H:mm:ss"))
+        .otherwise(plain)
+    )
+
+
 VIEW = ["14030000", "15010000", "19010000", "10130100"]
 CLICK = ["10050300", "12011600", "11010100", "18020000", "10150200"]
 PURCHASE = ["04010100", "09010000", "04010200", "04050100", "09010000"]
@@ -120,7 +134,7 @@ def as_raw_events(events: DataFrame) -> DataFrame:
         .when(e % 103 == 0, "garbage")
         .when(e % 3 == 0, F.unix_millis(at).cast("string"))
         .when(e % 3 == 1, F.unix_seconds(at).cast("string"))
-        .otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(_datetime_text(at, F.floor(e / 3) % 6))
         .alias("event_time"),
         F.when(e % 193 == 0, None)
         .when(e % 97 == 0, "../../etc/passwd")

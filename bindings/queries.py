@@ -14,6 +14,7 @@ from orderloom.operators import checks, decode, tables
 from orderloom.params import Params
 from orderloom.plans import (
     analyses,
+    build,
     cycles,
     demand,
     events,
@@ -33,8 +34,8 @@ from orderloom.streaming import event_streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Written tables, one per session, input folder and name: the source tables as landed, and the
-# enriched spine, which feeds most models. Like any table they are built once and read often.
+# Written tables, one per session, input folder and name: the decoded events, the enriched spine
+# and finished models that others read. Like any table they are built once and read often.
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 SOURCES = {
@@ -67,24 +68,18 @@ class Inputs:
         return _written[key]
 
     def source(self, name: str) -> DataFrame:
-        """A source table derived from the given tables.
+        """A source table derived from the given tables, lazily."""
+        return SOURCES[name](self.spark, self.sf_dir)
 
-        The given files hold one row group each, which is one task; landing spreads the rows
-        when there are fewer tasks than cores.
-        """
-
-        def land() -> DataFrame:
-            df = SOURCES[name](self.spark, self.sf_dir)
-            cores = self.spark.sparkContext.defaultParallelism
-            return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-        return self._once(name, land)
+    def landed(self, name: str) -> DataFrame:
+        """The same as files, which a stream reads."""
+        return self._once(name, lambda: self.source(name))
 
     def wms(self, name: str) -> DataFrame:
         return staging.stage_wms(name, self.source(name))
 
     def staged(self) -> DataFrame:
-        return staging.stage_events(self.source("raw_events"))
+        return staging.stage_events(readers.read_flat_events(self.source("raw_events")))
 
     def decoded(self) -> DataFrame:
         return events.decode_events(self.staged(), self.seed["app_sources"])
@@ -286,6 +281,27 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.merge_by_key(fact(raw.filter(~revised)), fact(raw.filter(revised)), "entity_id")
 
 
+def _stored(inputs: Inputs, refresh: Callable[[DataFrame, str, Params], None], name: str):
+    """A fact after a first load that lacks every seventh event, and a refresh with all events."""
+    path = shared_dir(inputs.spark, name)
+    spine = inputs.spine()
+    refresh(spine.filter(F.col("entity_id") % 7 != 0), path, TRIAL)
+    refresh(spine, path, TRIAL)
+    return tables.read_upserted(inputs.spark, path)
+
+
+@query
+def refresh_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored event fact after a late batch: only the trailing window is caught up."""
+    return _stored(Inputs(spark, sf_dir), build.refresh_fct_events, "fct-events")
+
+
+@query
+def refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored order fact after resubmits within the trailing window."""
+    return _stored(Inputs(spark, sf_dir), build.refresh_fct_orders, "fct-orders")
+
+
 @query
 def trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events an incremental refresh of the event fact would reprocess."""
@@ -403,6 +419,12 @@ def quarantine_invalid_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quarantine_invalid_source(inputs.staged(), inputs.seed["app_sources"])
 
 
+@query
+def unparsed_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = Inputs(spark, sf_dir)
+    return quality.unparsed_event_times(inputs.staged(), inputs.seed["app_sources"])
+
+
 @query
 def unmapped_event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
@@ -567,7 +589,7 @@ def _stream(written: DataFrame) -> DataFrame:
 
 @query
 def stream_event_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = Inputs(spark, sf_dir).source("raw_events")
+    raw = Inputs(spark, sf_dir).landed("raw_events")
     target, state = shared_dir(spark, "stream-events"), shared_dir(spark, "stream-state")
     event_streams.stream_event_upsert(_stream(raw), target, state).awaitTermination()
     return tables.read_upserted(spark, target)
@@ -578,7 +600,7 @@ def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = Inputs(spark, sf_dir).spine()
     target, state = shared_dir(spark, "stream-bursts"), shared_dir(spark, "stream-state")
     event_streams.stream_bursts(_stream(spine), target, state, TRIAL).awaitTermination()
-    return spark.read.parquet(target)
+    return event_streams.current_bursts(spark, target, TRIAL)
 
 
 @query
@@ -586,4 +608,4 @@ def stream_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = Inputs(spark, sf_dir).spine()
     target, state = shared_dir(spark, "stream-demand"), shared_dir(spark, "stream-state")
     event_streams.stream_daily_demand(_stream(spine), target, state, TRIAL).awaitTermination()
-    return tables.read_upserted(spark, target).drop("day_item", "approx_customers")
+    return event_streams.current_demand(spark, target, TRIAL)

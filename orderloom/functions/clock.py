@@ -11,10 +11,7 @@ from orderloom.functions.text import col, trimmed, whole_number
 SERVER_OFFSET_HOURS = 8
 
 _MAX_EPOCH_MILLIS = 253402300799999  # 9999-12-31
-_DATETIME = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
-)
+_MAX_EPOCH_SECONDS = 253402300799
 
 
 def add_hours(ts: Column | str, hours: Column | int) -> Column:
@@ -36,13 +33,20 @@ def epoch_millis(c: Column | str) -> Column:
 
 
 def event_time(c: Column | str) -> Column:
-    """Epoch seconds, epoch milliseconds (12 digits or more) or a datetime; garbage is NULL."""
+    """Epoch seconds, epoch milliseconds (12 digits or more), else whatever casts to a timestamp.
+
+    What does not cast, and an epoch past the year 9999, is NULL; `unparsed_event_times` lists
+    those events.
+    """
     text = trimmed(c)
     digits = whole_number(text)
     return (
         F.when(text.rlike(r"^[0-9]{12,}$"), _millis(digits))
-        .when(text.rlike(r"^[0-9]+$"), F.timestamp_seconds(digits))
-        .when(text.rlike(_DATETIME), text.try_cast("timestamp"))
+        .when(
+            text.rlike(r"^[0-9]+$"),
+            F.when(digits <= _MAX_EPOCH_SECONDS, F.timestamp_seconds(digits)),
+        )
+        .otherwise(text.try_cast("timestamp"))
     )
 
 

@@ -61,7 +61,7 @@ def decode_app_category(
         .unionByName(keyed("app_id", 1))
         .filter(F.col("_key").isNotNull())
     )
-    lookup = latest_per_key(either, ["_key"], [F.col("_by").asc()]).drop("_by")
+    lookup = latest_per_key(either, ["_key"], [F.col("_by").asc()], ["_id", "_name"]).drop("_by")
     website = categories.select(
         F.col("category_id").alias("_cat"), F.col("category_name").alias("_cat_name")
     )
@@ -95,10 +95,16 @@ def classify_category_name(
     website = categories.groupBy(F.col("category_name").alias("_name")).agg(
         F.min("category_id").alias("_website_id")
     )
+    # Only rows without an alias meet the names: as NULL keys of one join the others would all
+    # hash to one partition.
     by_alias = df.join(alias, F.col(column) == F.col("_raw"), "left")
-    unaliased = F.when(F.col("_raw").isNull(), F.col(column))
-    return by_alias.join(website, unaliased == F.col("_name"), "left").select(
+    aliased = by_alias.filter(F.col("_raw").isNotNull()).select(
+        *df.columns, "alias_type", F.col("_alias_id").alias("category_id")
+    )
+    rest = df.join(alias.select("_raw"), F.col(column) == F.col("_raw"), "left_anti")
+    named = rest.join(website, F.col(column) == F.col("_name"), "left").select(
         *df.columns,
-        "alias_type",
-        F.coalesce("_alias_id", "_website_id").alias("category_id"),
+        F.lit(None).cast("string").alias("alias_type"),
+        F.col("_website_id").alias("category_id"),
     )
+    return aliased.unionByName(named)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,8 @@ from orderloom.operators.dedupe import latest_per_key
 from orderloom.session import shared_dir
 
 BLOCK = "_block"
+# Up to so many touched blocks are listed in the scan's partition filter; beyond, their range.
+LISTED_BLOCKS = 1_000
 _EPOCH = "1900-01-01"
 
 
@@ -20,7 +23,9 @@ def rebuild(df: DataFrame, path: str, partition_by: str | None = None) -> DataFr
     """
     if partition_by:
         spread = df.hint("rebalance", F.col(partition_by))
-        spread.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        # static whatever the session says: partitions that are gone must leave the table
+        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -67,8 +72,10 @@ def id_block(key: str, rows: int = 10_000_000) -> Column:
     return F.floor(F.col(key) / rows).cast("int")
 
 
-def hash_block(key: str, blocks: int = 256) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+def number_block(key: str, rows: int = 1_000_000) -> Column:
+    """Block of a text key by the range of the number in it: late keys share few blocks."""
+    digits = F.regexp_extract(key, "([0-9]{1,18})", 1).try_cast("bigint")
+    return F.coalesce(F.floor(digits / rows), F.lit(-1)).cast("int")
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
@@ -79,12 +86,32 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception as missing:  # AnalysisException: no such path, or nothing in it
-        if "PATH_NOT_FOUND" in str(missing) or "UNABLE_TO_INFER_SCHEMA" in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table from whatever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def touched_blocks(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the stored table in blocks that the batch has rows in.
+
+    The blocks go into the scan as a partition filter, so other partitions are not listed or
+    read. A semi join would not do that: Spark prunes at run time only by a filtered side.
+    """
+    blocks = batch.select(BLOCK).distinct()
+    few = [r[0] for r in blocks.limit(LISTED_BLOCKS + 1).collect()]
+    if len(few) <= LISTED_BLOCKS:
+        return stored.filter(F.col(BLOCK).isin([b for b in few if b is not None]))
+    low, high = blocks.agg(F.min(BLOCK), F.max(BLOCK)).first()
+    return stored.filter(F.col(BLOCK).between(low, high)).join(blocks, BLOCK, "left_semi")
+
+
 def upsert_table(
     batch: DataFrame,
     path: str,
@@ -95,34 +122,43 @@ def upsert_table(
 ) -> None:
     """Insert new keys and replace known ones, rewriting only the blocks the batch touches.
 
-    The table is partitioned by a function of its key, so an update never moves a row to
-    another partition. The merged blocks are written to the shared folder first and then
-    swapped in by dynamic partition overwrite: nothing is overwritten while it is read, and
-    running the same batch again gives the same table.
+    The table is partitioned by a function of its key that is never NULL, so an update never
+    moves a row to another partition. The merged blocks are written to the shared folder first
+    and then swapped in by dynamic partition overwrite: nothing is overwritten while it is read,
+    and running the same batch again gives the same table. The scratch copies are deleted at the
+    end, whatever happened.
 
     With `keep_latest` the order also decides between a batch row and the stored row, for
     batches that may bring older versions.
     """
     spark = batch.sparkSession
-    fresh = materialise(
-        latest_per_key(batch, [key], order).withColumn(BLOCK, block), "upsert-batch"
-    )
-    merged = fresh
-    if table_exists(spark, path):
-        stored = spark.read.option("mergeSchema", True).parquet(path)
-        # Runtime partition pruning: only touched blocks are scanned.
-        touched = stored.join(fresh.select(BLOCK).distinct(), BLOCK, "left_semi")
-        if keep_latest:
-            both = touched.unionByName(fresh, allowMissingColumns=True)
-            merged = latest_per_key(both, [key], order)
-        else:
-            merged = merge_by_key(touched, fresh, key)
-        merged = materialise(merged, "upsert-merged")
-    # Files by block; a rebalance splits a large block over tasks and joins small ones.
-    (
-        merged.hint("rebalance", F.col(BLOCK))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BLOCK)
-        .parquet(path)
-    )
+    scratch: list[str] = []
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        scratch.append(shared_dir(spark, label))
+        df.write.parquet(scratch[-1])
+        return spark.read.parquet(scratch[-1])
+
+    try:
+        latest = latest_per_key(batch, [key], order, batch.columns)
+        merged = fresh = written(latest.withColumn(BLOCK, block), "upsert-batch")
+        if table_exists(spark, path):
+            stored = spark.read.option("mergeSchema", True).parquet(path)
+            touched = touched_blocks(stored, fresh)
+            if keep_latest:
+                both = touched.unionByName(fresh, allowMissingColumns=True)
+                merged = latest_per_key(both, [key], order, both.columns)
+            else:
+                merged = merge_by_key(touched, fresh, key)
+            merged = written(merged, "upsert-merged")
+        # Files by block; a rebalance splits a large block over tasks and joins small ones.
+        (
+            merged.hint("rebalance", F.col(BLOCK))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BLOCK)
+            .parquet(path)
+        )
+    finally:
+        for folder in scratch:
+            discard(spark, folder)

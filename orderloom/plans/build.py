@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,8 @@ class Sources:
     prtmst: DataFrame
     prtdsc: DataFrame
     seeds: dict[str, DataFrame]
+    category: DataFrame | None = None
+    wms: dict[str, DataFrame] = field(default_factory=dict)  # the other warehouse tables
 
 
 def refresh_fct_events(enriched: DataFrame, path: str, params: Params) -> None:
@@ -50,7 +52,7 @@ def refresh_fct_orders(enriched: DataFrame, path: str, params: Params) -> None:
     """Upserts the orders submitted in the trailing window; a resubmit replaces the order."""
     batch = orders.fct_orders(_late(enriched, path, "submitted_at", params))
     newest = [F.col("submitted_at").desc()]
-    tables.upsert_table(batch, path, "increment_id", newest, tables.hash_block("increment_id"))
+    tables.upsert_table(batch, path, "increment_id", newest, tables.number_block("increment_id"))
 
 
 def _late(enriched: DataFrame, path: str, target_ts: str, params: Params) -> DataFrame:
@@ -82,7 +84,8 @@ def build(
     def table(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         return tables.rebuild(df, f"{warehouse}/{name}", partition_by)
 
-    staged = staging.stage_events(sources.event_log)
+    # written once: the decode, the quarantine, the audits and the checks read it
+    staged = table("stg_event_log", staging.stage_events(sources.event_log))
     users = staging.stage_admin_users(sources.admin_users)
     inventory = supply.inventory_daily(staging.stage_wms("inv_snap", sources.inv_snap))
     items = supply.items(
@@ -136,11 +139,18 @@ def build(
         "quarantine_invalid_source": quality.quarantine_invalid_source(
             staged, seed["app_sources"]
         ),
+        "unparsed_event_times": quality.unparsed_event_times(staged, seed["app_sources"]),
         "unmapped_event_codes": quality.unmapped_event_codes(decoded, seed["event_codes"]),
         "unmatched_demand_skus": quality.unmatched_demand_skus(demand_daily, items),
         "wms_inv_snap": staging.stage_wms("inv_snap", sources.inv_snap),
         "wms_prtmst": staging.stage_wms("prtmst", sources.prtmst),
         "wms_prtdsc": staging.stage_wms("prtdsc", sources.prtdsc),
+        **{f"wms_{n}": staging.stage_wms(n, df) for n, df in sources.wms.items()},
+        **(
+            {"stg_category": staging.stage_category(sources.category)}
+            if sources.category is not None
+            else {}
+        ),
         **seed,
     }
 

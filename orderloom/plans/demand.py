@@ -14,11 +14,28 @@ ITEM_NUMBER = r"^[0-9]{3,8}$"
 SOURCE_SYSTEM = "event_log"
 
 
+# What demand is computed from, besides the event's key.
+DEMAND_COLUMNS = [
+    "entity_id", "event_at_utc", "expected_payload_format", "response", "feature_name",
+    "is_add", "is_remove", "is_qty_change", "customer_key", "actor_type",
+]
+
+
+def is_demand(params: Params) -> Column:
+    """Cart edits and item views within plausible times."""
+    at = F.col("event_at_utc")
+    viewed = F.col("feature_name").isin("item_detail", "image_enlarge")
+    return (
+        (at >= F.lit(params.go_live))
+        & (at <= params.now())
+        & (classify.is_cart_edit() | viewed)
+    )
+
+
 def demand_events(enriched: DataFrame, params: Params) -> DataFrame:
     """Cart edits and item views with a well-formed item number, within plausible times."""
     at = F.col("event_at_utc")
     layout = F.col("expected_payload_format")
-    viewed = F.col("feature_name").isin("item_detail", "image_enlarge")
     sku = F.when(layout == "positional", list_part("response", 1)).when(
         layout == "sku", trimmed_or_null("response")
     )
@@ -27,11 +44,7 @@ def demand_events(enriched: DataFrame, params: Params) -> DataFrame:
         whole_number(list_part("response", 2), "int"),
     )
     return (
-        enriched.filter(
-            (at >= F.lit(params.go_live))
-            & (at <= params.now())
-            & (classify.is_cart_edit() | viewed)
-        )
+        enriched.filter(is_demand(params))
         .select(
             clock.day(at).alias("activity_date"),
             sku.alias("sku"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions import classify
+from orderloom.functions import classify, clock
 from orderloom.functions.text import blank_to_null, whole_number
 from orderloom.operators.checks import (
     Check,
@@ -40,6 +40,16 @@ def quarantine_invalid_source(staged: DataFrame, app_sources: DataFrame) -> Data
     )
 
 
+def unparsed_event_times(staged: DataFrame, app_sources: DataFrame) -> DataFrame:
+    """Events of registered applications that leave the spine because their time, though not
+    blank, is no timestamp."""
+    known = app_sources.select(F.col("source_code").alias("source"))
+    lost = (F.col("event_time") != "") & clock.event_time("event_time").isNull()
+    return staged.join(known, "source", "left_semi").filter(lost).select(
+        "entity_id", "source", "username", "event_time", "description_code", "created_at"
+    )
+
+
 def unmapped_event_codes(decoded: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Codes of genuine events that the dictionary lacks, most frequent first."""
     code = F.col("description_code")
@@ -250,6 +260,8 @@ def declared_checks(models: dict[str, DataFrame]) -> list[Check]:
         else:
             repeated = unique_combination(models[name], grain)
             out.append(Check(f"unique_combination_{name}", repeated, "warn"))
+        for column in spec.required:
+            out.append(not_null_check(f"not_null_{name}_{column}", models[name], column))
         if spec.parent and f"wms_{spec.parent[1]}" in models:
             column, parent, field = spec.parent
             orphans = relationships(models[name], column, models[f"wms_{parent}"], field)

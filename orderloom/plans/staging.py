@@ -34,7 +34,8 @@ def stage_events(raw: DataFrame) -> DataFrame:
         trimmed("event_id").alias("event_id"),
     )
     newest = [F.col("updated_at").desc_nulls_last(), F.col("created_at").desc_nulls_last()]
-    return latest_per_key(typed, ["entity_id"], newest)
+    # versions of one event with equal times have no order of their own
+    return latest_per_key(typed, ["entity_id"], newest, typed.columns)
 
 
 def _text(**names: str) -> list[Column]:

@@ -65,6 +65,8 @@ def items(prtmst: DataFrame, prtdsc: DataFrame, code_descriptions: DataFrame) ->
         ),
         ["_item", "_client"],
         [preferred_first("_template", WAREHOUSE_TEMPLATE), F.col("_template").asc_nulls_last()],
+        # a key may occur with and without a byte order mark
+        ["lngdsc", "short_dsc"],
     ).select(
         trimmed_or_null("_item").alias("prtnum"),
         trimmed_or_null("_client").alias("prt_client_id"),

@@ -64,8 +64,3 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
-
-def checkpoint_ready(spark: SparkSession) -> None:
-    """Make `DataFrame.checkpoint()` usable on the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))

@@ -53,4 +53,4 @@ def flatten_to_parquet(spark: SparkSession, source: str | list[str], target: str
     """Unnest an export, keep the latest version of each event, write parquet. Rerunnable."""
     events = read_event_envelope(spark, source)
     stamp = F.col("updated_at").cast("timestamp").desc_nulls_last()
-    latest_per_key(events, ["entity_id"], [stamp]).write.mode("overwrite").parquet(target)
+    latest_per_key(events, ["entity_id"], [stamp], events.columns).write.mode("overwrite").parquet(target)

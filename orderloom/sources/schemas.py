@@ -1,4 +1,7 @@
-"""Schemas, keys and grains of the inputs."""
+"""Schemas, keys and grains of the inputs.
+
+Fixed values: column names, keys, grains and age limits must equal those of the sources.
+"""
 
 from __future__ import annotations
 
@@ -94,6 +97,7 @@ class WmsTable:
     trimmed: tuple[str, ...] = ()
     parent: tuple[str, str, str] | None = None  # (column, parent table, parent column)
     warn_hours: int = 168
+    required: tuple[str, ...] = ()  # never NULL, besides a single-column grain
 
 
 _ITEM = ("prtnum", "prt_client_id")
@@ -104,18 +108,24 @@ WMS: dict[str, WmsTable] = {
     "invdtl": WmsTable(("dtlnum",), _ITEM, ("subnum", "invsub", "subnum")),
     "invlod": WmsTable(("lodnum",)),
     "invsub": WmsTable(("subnum",), (), ("lodnum", "invlod", "lodnum")),
-    "invsum": WmsTable(("wh_id", "stoloc", "prtnum", "prt_client_id", "invsts"), _ITEM),
-    "locmst": WmsTable(("wh_id", "stoloc")),
+    "invsum": WmsTable(
+        ("wh_id", "stoloc", "prtnum", "prt_client_id", "invsts"), _ITEM, required=("stoloc", "prtnum")
+    ),
+    "locmst": WmsTable(("wh_id", "stoloc"), required=("stoloc",)),
     "pckwrk_dtl": WmsTable(
         ("wrkref_dtl",), (*_ITEM, "stcust"), ("wrkref", "pckwrk_hdr", "wrkref")
     ),
     "pckwrk_hdr": WmsTable(("wrkref",), _ITEM),
     "prtdsc": WmsTable(("colnam", "colval", "locale_id")),
-    "prtftp": WmsTable(("prtnum", "ftpcod", "prt_client_id", "wh_id"), _ITEM),
+    "prtftp": WmsTable(
+        ("prtnum", "ftpcod", "prt_client_id", "wh_id"), _ITEM, required=("prtnum",)
+    ),
     "prtftp_dtl": WmsTable(
         ("prtnum", "ftpcod", "prt_client_id", "wh_id", "uomcod", "uomlvl"), _ITEM
     ),
-    "prtmst": WmsTable(("prtnum", "prt_client_id", "wh_id_tmpl"), (*_ITEM, "dsp_prtnum")),
+    "prtmst": WmsTable(
+        ("prtnum", "prt_client_id", "wh_id_tmpl"), (*_ITEM, "dsp_prtnum"), required=("prtnum",)
+    ),
     "rplcfg": WmsTable(("rplnum",), _ITEM),
     "shipment": WmsTable(("ship_id",), warn_hours=48),
     "shipment_line": WmsTable(

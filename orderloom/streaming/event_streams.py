@@ -1,7 +1,7 @@
 """Streaming forms of the late-data operators.
 
 The batch models reprocess a trailing window and upsert by key. As a stream the same ends are
-met by a keyed upsert per micro-batch and by watermarked event-time aggregations.
+met by a keyed upsert per micro-batch; what is aggregated is read from the kept events.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions import clock
-from orderloom.operators.tables import hash_block, id_block, upsert_table
+from orderloom.operators.tables import id_block, read_upserted, upsert_table
 from orderloom.params import Params
 from orderloom.plans.cycles import cycle_events
-from orderloom.plans.demand import demand_events
+from orderloom.plans.demand import DEMAND_COLUMNS, is_demand, item_demand_daily
 from orderloom.plans.staging import stage_events
 
 
@@ -46,18 +46,30 @@ def stream_event_upsert(raw: DataFrame, target: str, checkpoint: str) -> Streami
     )
 
 
-def session_bursts(enriched: DataFrame, params: Params = Params()) -> DataFrame:
+def _keep_events(events: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Keeps a table of the given narrow events, one row per event, late ones included."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        newest = [F.col("event_at_utc").desc_nulls_last()]
+        upsert_table(batch, target, "entity_id", newest, id_block("entity_id"))
+
+    return (
+        events.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def session_bursts(events: DataFrame, params: Params = Params()) -> DataFrame:
     """Bursts of behavioural events per customer, as event-time sessions.
 
-    Works on a batch as well as on a stream. Sessions close after an elapsed gap, whereas the
-    cycle model counts minute boundaries; the two differ only for gaps within a minute of the
-    limit. On a stream, events later than the late window are dropped.
+    Sessions close after an elapsed gap, whereas the cycle model counts minute boundaries; the
+    two differ only for gaps within a minute of the limit.
     """
-    events = cycle_events(enriched, params)
-    watermarked = events.withWatermark("event_at_utc", f"{params.late_window_days} days")
     gap = F.session_window("event_at_utc", f"{params.cycle_gap_minutes} minutes")
     return (
-        watermarked.groupBy("customer_key", gap.alias("burst"))
+        events.groupBy("customer_key", gap.alias("burst"))
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.min("event_at_utc").alias("started_at_utc"),
@@ -76,60 +88,29 @@ def session_bursts(enriched: DataFrame, params: Params = Params()) -> DataFrame:
 def stream_bursts(
     enriched: DataFrame, target: str, checkpoint: str, params: Params = Params()
 ) -> StreamingQuery:
-    """Appends each burst once the watermark has passed its end."""
-    return (
-        session_bursts(enriched, params)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Keeps the events that bursts are made of; `current_bursts` reads the bursts.
 
-
-def daily_demand(enriched: DataFrame, params: Params = Params()) -> DataFrame:
-    """Demand per day and item over event time; customers are counted approximately.
-
-    A stream cannot keep every customer of every item, so this form alone uses a sketch.
+    A watermark would hold back bursts that are still open and drop what comes late. Events
+    kept by key do neither, and a micro-batch that runs again changes nothing.
     """
-    events = (
-        demand_events(enriched, params)
-        .withColumn("at", F.col("activity_date").cast("timestamp"))
-        .withWatermark("at", f"{params.late_window_days} days")
-    )
-    return (
-        events.groupBy(F.window("at", "1 day").alias("day"), "sku")
-        .agg(
-            F.count_if(F.col("feature_name") == "item_detail").alias("item_detail_views"),
-            F.count_if(F.col("feature_name") == "image_enlarge").alias("image_enlarge_views"),
-            F.count_if("is_add").alias("cart_adds"),
-            F.count_if("is_remove").alias("cart_removes"),
-            F.count_if("is_qty_change").alias("cart_qty_changes"),
-            F.sum(F.when(F.col("is_add"), F.col("add_qty")).otherwise(0)).alias("cart_add_qty"),
-            F.approx_count_distinct("customer_key").alias("approx_customers"),
-        )
-        .select(F.to_date("day.start").alias("activity_date"), "*")
-        .drop("day")
+    events = cycle_events(enriched, params)
+    return _keep_events(
+        events.select("entity_id", "customer_key", "event_at_utc"), target, checkpoint
     )
 
 
+def current_bursts(spark: SparkSession, target: str, params: Params = Params()) -> DataFrame:
+    return session_bursts(read_upserted(spark, target), params)
+
+
 def stream_daily_demand(
     enriched: DataFrame, target: str, checkpoint: str, params: Params = Params()
 ) -> StreamingQuery:
-    """Keeps the demand table current: each micro-batch replaces the days and items it changed."""
+    """Keeps the events that demand is made of; `current_demand` reads the daily demand."""
+    events = enriched.filter(is_demand(params)).select(*DEMAND_COLUMNS)
+    return _keep_events(events, target, checkpoint)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        keyed = batch.withColumn("day_item", F.concat_ws("/", "activity_date", "sku"))
-        upsert_table(
-            keyed, target, "day_item", [F.col("activity_date")], hash_block("day_item", 64)
-        )
 
-    return (
-        daily_demand(enriched, params)
-        .writeStream.outputMode("update")
-        .foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def current_demand(spark: SparkSession, target: str, params: Params = Params()) -> DataFrame:
+    """Demand per day and item with exact numbers of customers."""
+    return item_demand_daily(read_upserted(spark, target), params)

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from orderloom.sources import readers
 from orderloom.sources.freshness import source_freshness
 from orderloom.streaming import event_streams
 
+
 def newest():
     return [F.col("version").desc()]
 
@@ -238,14 +240,9 @@ def test_streamed_bursts_equal_batch_sessions(spark, models):
     target = shared_dir(spark, "bursts")
     params = frames.TRIAL
     event_streams.stream_bursts(stream, target, shared_dir(spark, "cp"), params).awaitTermination()
-    batch_ = event_streams.session_bursts(models.spine(), params)
-    # A stream emits a burst once the watermark passes its end.
-    behaviour = cycles.cycle_events(models.spine(), params)
-    newest = behaviour.agg(F.max("event_at_utc")).first()[0]
-    limit = newest - timedelta(days=params.late_window_days, minutes=params.cycle_gap_minutes)
-    closed = batch_.filter(F.col("ended_at_utc") <= F.lit(limit))
-    got = spark.read.parquet(target).select(*batch_.columns)
-    assert rows(got) == rows(closed) and got.count() > 0
+    batch_ = event_streams.session_bursts(cycles.cycle_events(models.spine(), params), params)
+    got = event_streams.current_bursts(spark, target, params)
+    assert rows(got) == rows(batch_) and got.count() > 0
 
 
 def test_sessions_are_the_bursts_of_the_cycle_model(models):
@@ -258,7 +255,8 @@ def test_sessions_are_the_bursts_of_the_cycle_model(models):
         F.col("starts_burst")
     )
     bursts = numbered.filter("starts_burst").count()
-    assert event_streams.session_bursts(models.spine(), params).count() == (
+    behaviour = cycles.cycle_events(models.spine(), params)
+    assert event_streams.session_bursts(behaviour, params).count() == (
         bursts - borderline.count()
     )
 
@@ -275,6 +273,39 @@ def test_streamed_demand_equals_batch_demand(spark, models):
         stream, target, shared_dir(spark, "cp"), params
     ).awaitTermination()
     batch_ = demand.item_demand_daily(models.spine(), params)
-    columns = ["activity_date", "sku", "item_detail_views", "cart_adds", "cart_add_qty"]
-    got = tables.read_upserted(spark, target).select(*columns)
-    assert rows(got) == rows(batch_.select(*columns))
+    assert rows(event_streams.current_demand(spark, target, params)) == rows(batch_)
+
+
+def test_an_upsert_reads_and_rewrites_only_touched_blocks(spark, tmp_path, monkeypatch):
+    key = F.col("id")
+    load = spark.range(1000).withColumn("v", F.lit(0)).withColumn("at", F.current_timestamp())
+    path = str(tmp_path / "table")
+    block = F.floor(key / 100).cast("int")
+    tables.upsert_table(load, path, "id", [F.col("at").desc()], block)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+    stored, batch = spark.read.parquet(path), load.filter("id = 250").withColumn("v", F.lit(1))
+    touched = tables.touched_blocks(stored, batch.withColumn(tables.BLOCK, block))
+    assert len(touched.inputFiles()) == len(
+        [p for p in before if f"{tables.BLOCK}=2/" in str(p)]
+    )
+    folders = []
+    made = tables.shared_dir
+    monkeypatch.setattr(
+        tables, "shared_dir", lambda *a: folders.append(made(*a)) or folders[-1]
+    )
+    tables.upsert_table(batch, path, "id", [F.col("at").desc()], block)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+    kept = {p: t for p, t in before.items() if f"{tables.BLOCK}=2/" not in str(p)}
+    assert kept.items() <= after.items() and after.keys() - kept.keys()
+    now = tables.read_upserted(spark, path)
+    assert now.count() == 1000 and [r.id for r in now.filter("v = 1").collect()] == [250]
+    assert len(folders) == 2 and not any(os.path.exists(f) for f in folders)
+
+
+def test_a_daily_dedupe_reads_only_what_is_asked(spark, small):
+    from bindings.queries import Inputs
+    from orderloom.plans import supply
+
+    stock = supply.inventory_daily(Inputs(spark, small).wms("inv_snap"))
+    plan = stock.select("prtnum", "shippable_qty")._jdf.queryExecution().optimizedPlan().toString()
+    assert "rcvqty" not in plan and "on_hand_qty" not in plan
