@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,9 +49,13 @@ ship(__name__)
 
 WIDTH = 5
 PERCENT = 75
-COUNTERS = 1 << 20
+# Counters of the column order (a power of two, one byte each in the tasks). With fewer columns
+# to a counter the order tells rare columns better from common ones; any number is correct.
+COUNTERS = 1 << 24
 # Rows of the incidence matrix that a task multiplies at a time; one column may hold more.
 GROUP_ROWS = 100_000
+# Documents of a block of whole sets.
+BLOCK_ROWS = 512
 
 
 def text_sets(texts: pa.Array, width: int):
@@ -62,39 +66,50 @@ def text_sets(texts: pa.Array, width: int):
             yield np.unique(shingles(hashes[at[i] : at[i + 1]], width))
 
 
-def column_counts(texts: DataFrame, width: int) -> np.ndarray:
-    """How many documents hold a column of each counter; exact sums over all documents."""
+def column_ranks(texts: DataFrame, width: int, counters: int) -> np.ndarray:
+    """A rank of 0 to 255 for each counter, by how many documents hold one of its columns.
+
+    Every document counts. A task sends its counters packed in chunks, so that what is shuffled
+    depends on the number of tasks and not on the number of columns.
+    """
+    shift, chunk = np.uint64(64 - counters.bit_length() + 1), min(counters, 1 << 16)
 
     def count(batches):
-        held = np.zeros(COUNTERS, np.int64)
+        held = np.zeros(counters, np.uint32)
         for batch in batches:
             for s in text_sets(batch.column("text"), width):
-                np.add.at(held, (s >> np.uint64(44)).astype(np.int64), 1)
-        at = np.flatnonzero(held)
-        for lo in range(0, len(at), 65_536):
-            part = at[lo : lo + 65_536]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(held[part])], names=["at", "n"]
-            )
+                np.add.at(held, (s >> shift).astype(np.int64), 1)
+        packer = zstandard.ZstdCompressor(level=1)
+        for lo in range(0, counters, chunk):
+            part = held[lo : lo + chunk]
+            if part.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lo]), pa.array([packer.compress(part.tobytes())], pa.binary())],
+                    names=["lo", "held"],
+                )
 
-    summed = texts.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    out = np.zeros(COUNTERS, np.int64)
-    got = summed.toArrow()
-    out[np.asarray(got.column("at"))] = np.asarray(got.column("n"))
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(chunk, np.uint64)
+        for packed in group.column("held"):
+            raw = zstandard.ZstdDecompressor().decompress(packed.as_py())
+            total += np.frombuffer(raw, np.uint32)
+        ranks = np.minimum(255, 8 * np.log2(total + 1.0)).astype(np.uint8)
+        return pa.table({"lo": group.column("lo")[:1], "ranks": pa.array([ranks.tobytes()], pa.binary())})
+
+    out = np.zeros(counters, np.uint8)
+    packed = texts.mapInArrow(count, "lo long, held binary")
+    for row in packed.groupBy("lo").applyInArrow(add, "lo long, ranks binary").toArrow().to_pylist():
+        out[row["lo"] : row["lo"] + chunk] = np.frombuffer(row["ranks"], np.uint8)
     return out
 
 
-def _class_size(counts: np.ndarray) -> np.ndarray:
-    """Counts in steps of a factor two: the rank of a column is its step, then its hash."""
-    return np.int64(np.log2(counts + 1)).astype(np.uint64)
-
-
-def incidence(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
+def incidence(texts: DataFrame, width: int, percent: int, ranks: np.ndarray) -> DataFrame:
     """(doc_id, n, k1, k2, last, prefix): set size, two hashes of the set, its first columns.
 
     `last` is the rank of the last column of the prefix in the common order.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(_class_size(counts).astype(np.uint8))
+    shared = texts.sparkSession.sparkContext.broadcast(ranks)
+    shift = np.uint64(64 - len(ranks).bit_length() + 1)
 
     def build(batches):
         for batch in batches:
@@ -105,12 +120,12 @@ def incidence(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                 k1.append(np.bitwise_xor.reduce(_mix(s)) if n else 0)
                 k2.append(np.add.reduce(s) if n else 0)
                 keep = n - -(-percent * n // 100) + 1 if n else 0
-                classes = shared.value[(s >> np.uint64(44)).astype(np.int64)]
-                # sets are sorted, so a stable sort by class orders by class, then hash
+                classes = shared.value[(s >> shift).astype(np.int64)]
+                # sets are sorted, so a stable sort by rank orders by rank, then hash
                 order = np.argsort(classes, kind="stable")[:keep]
                 prefixes.append(s[order].view(np.int64))
                 end = order[-1] if n else 0
-                last.append((int(classes[end]) << 56) + (int(s[end]) >> 8) if n else 0)
+                last.append((int(classes[end]) << 55) + (int(s[end]) >> 9) if n else 0)
             at = np.r_[0, np.cumsum([len(x) for x in prefixes])].astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -179,13 +194,9 @@ def needed(a: str, b: str, percent: int) -> F.Column:
     return F.ceil((F.col(a) + F.col(b)) * percent / F.lit(100 + percent) - 1e-9)
 
 
-def exact_links(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold."""
-    pairs = scratch(pairs.select("a", "b").distinct(), "pairs")
-    ends = scratch(
-        pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ends"
-    )
-    texts = docs.join(small(ends), "doc_id", "left_semi").select("doc_id", "text")
+def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, cols): the whole sets of the documents in `ids`, from their texts."""
+    texts = docs.join(small(ids), "doc_id", "left_semi").select("doc_id", "text")
 
     def sets(batches):
         for batch in batches:
@@ -203,13 +214,72 @@ def exact_links(pairs: DataFrame, docs: DataFrame, width: int, percent: int) ->
                 )
                 done += hi - lo
 
-    held = scratch(texts.mapInArrow(sets, "doc_id long, cols array<long>"), "sets")
-    left = held.select(F.col("doc_id").alias("a"), F.col("cols").alias("left"))
-    right = held.select(F.col("doc_id").alias("b"), F.col("cols").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - F.col("overlap")
-    return both.withColumn("overlap", overlap).where(100 * F.col("overlap") >= percent * union).select("a", "b")
+    return scratch(texts.mapInArrow(sets, "doc_id long, cols array<long>"), "sets")
+
+
+def exact_links(
+    candidates: DataFrame, members: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """(a, b): a link of each candidate (doc_id, group) to one document of the group, if any.
+
+    `members`: (group, doc_id). The documents of a group are linked already, so one link is
+    enough. Groups are cut into blocks of rows and the candidates of a group into blocks too;
+    the whole sets of a pair of blocks are multiplied in one task, which returns links only.
+    """
+    candidates = scratch(candidates.select("doc_id", "group").distinct(), "candidates")
+    sized = (
+        candidates.groupBy("group").agg(F.count("*").alias("askers"))
+        .join(members.groupBy("group").agg(F.count("*").alias("held")), "group")
+        .select(
+            "group",
+            F.ceil(F.col("askers") / BLOCK_ROWS).cast("int").alias("xs"),
+            F.ceil(F.col("held") / BLOCK_ROWS).cast("int").alias("ys"),
+        )
+    )
+    sized = scratch(sized, "group-sizes")
+    asked = scratch(members.join(small(sized), "group"), "members")
+    ids = asked.select("doc_id").union(candidates.select("doc_id")).distinct()
+    sets = whole_sets(docs, scratch(ids, "ends"), width)
+    salt = F.xxhash64("doc_id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = (
+        candidates.join(small(sized), "group")
+        .select("group", "doc_id", F.pmod(salt, "xs").cast("int").alias("x"), "ys", F.lit(True).alias("asks"))
+        .withColumn("y", every("ys")).drop("ys")
+    ).unionByName(
+        asked.select("group", "doc_id", F.pmod(salt, "ys").cast("int").alias("y"), "xs", F.lit(False).alias("asks"))
+        .withColumn("x", every("xs")).drop("xs")
+    )
+
+    def multiply(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        asks, docs_ = np.asarray(group.column("asks")), np.asarray(group.column("doc_id"))
+        lists = group.column("cols").combine_chunks()
+        at, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+        y = np.flatnonzero(~asks)
+        size = np.diff(at)
+        cols = np.concatenate([flat[at[i] : at[i + 1]] for i in y])
+        owner = np.repeat(np.arange(len(y)), size[y])
+        order = np.argsort(cols, kind="stable")
+        cols, owner = cols[order], owner[order]
+        a, b = [], []
+        for i in np.flatnonzero(asks):
+            mine = flat[at[i] : at[i + 1]]
+            lo = np.searchsorted(cols, mine, side="left")
+            many = np.searchsorted(cols, mine, side="right") - lo
+            # positions of all equal columns, run after run
+            where = np.repeat(lo - np.cumsum(many) + many, many) + np.arange(many.sum())
+            shared = np.bincount(owner[where], minlength=len(y))
+            linked = 100 * shared >= percent * (size[i] + size[y] - shared)
+            linked &= docs_[y] != docs_[i]
+            if linked.any():
+                a.append(docs_[i])
+                b.append(docs_[y[linked.argmax()]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.join(sets, "doc_id").groupBy("group", "x", "y").applyInArrow(
+        multiply, "a long, b long"
+    )
 
 
 def first_pairs(columns: DataFrame, percent: int) -> DataFrame:
@@ -238,77 +308,108 @@ def _outside(rest, last, shared, x, y):
     return np.where(loose, np.maximum(rest[x], rest[y]), first)
 
 
-def cross_pairs(columns: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose summed counts can still reach the threshold.
+def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
+    """Columns that documents of several components hold, with each document's component.
 
-    `documents`: (doc_id, root, last, shared), the last being the number of the document's
-    multiplied columns that any other document holds. Of two documents, take the one whose
-    prefix ends first: the columns they share are among the multiplied ones, at most the smaller
-    `shared`, or among its other columns. Pairs for which that is too few are not counted.
+    `shared` of a document is the number of its columns that are left.
     """
     labelled = columns.select("col", "doc_id", "n").join(documents, "doc_id")
 
+    def mixed(batches):
+        for t in whole_groups(batches, "col"):
+            cols, root = np.asarray(t.column("col")), np.asarray(t.column("root"))
+            start = np.flatnonzero(np.r_[True, cols[1:] != cols[:-1]])
+            several = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
+            keep = np.repeat(several, np.diff(np.r_[start, len(cols)]))
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    dealt = labelled.repartition("col").sortWithinPartitions("col")
+    held = scratch(dealt.mapInArrow(mixed, labelled.schema), "cross")
+    shared = held.groupBy("doc_id").agg(F.count("*").alias("_n"))
+    return held.join(small(shared), "doc_id").withColumn(
+        "shared", F.when(F.col("sets") > 1, F.lit(UNBOUNDED)).otherwise(F.col("_n"))
+    )
+
+
+def cross_candidates(cross: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, group): documents that could link with a document of the component `group`.
+
+    The component of a pair with more documents is the group, so a large group of near copies
+    is named once for each document outside it. Counts are summed over all columns of a
+    document and a group, and dropped if they cannot reach the threshold: of two documents,
+    take the one whose prefix ends first; what they share is among the multiplied columns, or
+    among its other ones.
+    """
+
     def multiply(batches):
         for t in whole_groups(batches, "col"):
-            cols, docs, n, root, last, shared = (
-                np.asarray(t.column(c)) for c in ("col", "doc_id", "n", "root", "last", "shared")
+            cols, docs, n, root, last, shared, size = (
+                np.asarray(t.column(c))
+                for c in ("col", "doc_id", "n", "root", "last", "shared", "members")
             )
             rest = -(-percent * n // 100) - 1
             start = np.flatnonzero(np.r_[True, cols[1:] != cols[:-1]])
-            lowest = np.minimum.reduceat(root, start)
-            highest = np.maximum.reduceat(root, start)
             ends = np.r_[start[1:], len(cols)]
-            a, b, held = [], [], 0
-            for lo, hi in zip(start[lowest != highest], ends[lowest != highest]):
+            found, held = [], 0
+            for lo, hi in zip(start, ends):
                 # all pairs but those inside the commonest component of the column
                 names, counts = np.unique(root[lo:hi], return_counts=True)
                 lone = root[lo:hi] != names[counts.argmax()]
-                for i in np.flatnonzero(lone):
+                for x in lo + np.flatnonzero(lone):
                     # n is sorted: only sets within the size bound are met
-                    x = lo + i
                     first = np.searchsorted(n[lo:hi], -(-percent * n[x] // 100))
                     end = np.searchsorted(n[lo:hi], 100 * n[x] // percent, side="right")
                     y = np.arange(lo + first, lo + end)
                     y = y[(root[y] != root[x]) & (~lone[y - lo] | (y > x))]
                     other = _outside(rest, last, shared, x, y)
-                    most = np.minimum(shared[y], shared[x]) + other
-                    y = y[(100 + percent) * most >= percent * (n[x] + n[y])]
-                    if len(y):
-                        a.append(np.full(len(y), x))
-                        b.append(y)
-                        held += len(y)
-                if held > 500_000:
-                    yield _summed(docs, n, rest, last, shared, a, b)
-                    a, b, held = [], [], 0
+                    need = -(-percent * (n[x] + n[y]) // (100 + percent))
+                    able = np.minimum(shared[y], shared[x]) + other >= need
+                    y, other, need = y[able], other[able], need[able]
+                    if len(y) == 0:
+                        continue
+                    to_y = (size[y] > size[x]) | ((size[y] == size[x]) & (root[y] < root[x]))
+                    found.append(
+                        np.stack([
+                            np.where(to_y, docs[x], docs[y]),
+                            np.where(to_y, root[y], root[x]),
+                            np.full(len(y), lo), other, need,
+                        ])
+                    )
+                    held += len(y)
+                    if held > 1_000_000:
+                        yield _summed(found)
+                        found, held = [], 0
             if held:
-                yield _summed(docs, n, rest, last, shared, a, b)
+                yield _summed(found)
 
-    dealt = labelled.repartition("col").sortWithinPartitions("col", "n", "doc_id")
-    partial = dealt.mapInArrow(multiply, "a long, b long, an long, bn long, other long, held long")
-    total = partial.groupBy("a", "b").agg(
-        F.sum("held").alias("held"),
-        *[F.first(c).alias(c) for c in ("an", "bn", "other")],
+    dealt = cross.repartition("col").sortWithinPartitions("col", "n", "doc_id")
+    partial = dealt.mapInArrow(
+        multiply, "doc_id long, group long, held long, other long, need long"
     )
-    return total.where(F.col("held") + F.col("other") >= needed("an", "bn", percent)).select(
-        "a", "b"
+    total = partial.groupBy("doc_id", "group").agg(
+        F.sum("held").alias("held"), F.max("other").alias("other"), F.min("need").alias("need")
+    )
+    return total.where("held + other >= need").select("doc_id", "group")
+
+
+def _summed(found: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each document and group: in how many columns they meet, and its bounds."""
+    doc, group, col, other, need = np.concatenate(found, axis=1)
+    order = np.lexsort((col, group, doc))
+    doc, group, col, other, need = (v[order] for v in (doc, group, col, other, need))
+    pair = np.r_[True, (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])]
+    start = np.flatnonzero(pair)
+    new_col = pair | np.r_[True, col[1:] != col[:-1]]
+    values = (
+        doc[start],
+        group[start],
+        np.add.reduceat(new_col.astype(np.int64), start),
+        np.maximum.reduceat(other, start),
+        np.minimum.reduceat(need, start),
     )
-
-
-def _summed(docs, n, rest, last, shared, a, b) -> pa.RecordBatch:
-    """One row for each pair of rows: how many columns it shares, and what bounds the others."""
-    a, b = np.concatenate(a), np.concatenate(b)
-    swap = docs[a] > docs[b]
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    order = np.lexsort((docs[b], docs[a]))
-    a, b = a[order], b[order]
-    x, y = docs[a], docs[b]
-    start = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-    held = np.diff(np.r_[start, len(x)])
-    a, b = a[start], b[start]
-    other = _outside(rest, last, shared, a, b)
     return pa.RecordBatch.from_arrays(
-        [pa.array(v) for v in (docs[a], docs[b], n[a], n[b], other, held)],
-        names=["a", "b", "an", "bn", "other", "held"],
+        [pa.array(v, pa.int64()) for v in values],
+        names=["doc_id", "group", "held", "other", "need"],
     )
 
 
@@ -323,13 +424,13 @@ def _follow(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, counters: int = COUNTERS
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text)."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = column_counts(texts.select("text"), width)
-    matrix = scratch(incidence(texts, width, percent, counts), "incidence")
+    ranks = column_ranks(texts.select("text"), width, counters)
+    matrix = scratch(incidence(texts, width, percent, ranks), "incidence")
     linkable = matrix.where("n > 0 AND doc_id IS NOT NULL")
     # equal sets are one row: the class is named by its smallest doc_id
     classes = linkable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
@@ -345,17 +446,27 @@ def jaccard_components(
         shared_columns(entries.select("col", "doc_id", "n", "at")), "columns"
     )
     rep_texts = texts.where("doc_id IS NOT NULL")
-    near = scratch(exact_links(first_pairs(columns, percent), rep_texts, width, percent), "near")
+    first = first_pairs(columns, percent).select(
+        F.col("b").alias("doc_id"), F.col("a").alias("group")
+    )
+    leaders = first.select("group", F.col("group").alias("doc_id")).distinct()
+    near = scratch(exact_links(first, leaders, rep_texts, width, percent), "near")
     roots = components(near)
-    shared = columns.groupBy("doc_id").agg(F.count("*").alias("shared"))
-    ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("_sets"))
-    documents = _follow(
-        shared.join(ends, "doc_id").withColumn("root", F.col("doc_id")), "root", roots
+    documents = reps.groupBy("doc_id").agg(
+        F.max("last").alias("last"), F.count("*").alias("sets")
     )
-    several = F.when(F.col("_sets") > 1, F.lit(UNBOUNDED)).otherwise(F.col("shared"))
-    documents = documents.withColumn("shared", several).drop("_sets")
-    documents = scratch(documents, "sharing")
-    rest = exact_links(cross_pairs(columns, documents, percent), rep_texts, width, percent)
+    documents = _follow(documents.withColumn("root", F.col("doc_id")), "root", roots)
+    members = documents.select(F.col("root").alias("group"), "doc_id")
+    sizes = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+    documents = (
+        documents.join(
+            small(scratch(sizes, "sizes")).withColumnRenamed("group", "root"), "root", "left"
+        )
+        .withColumn("members", F.coalesce("members", F.lit(1)))
+    )
+    documents = scratch(documents, "documents")
+    cross = cross_columns(columns, documents)
+    rest = exact_links(cross_candidates(cross, percent), members, rep_texts, width, percent)
     # links between components of the first round, and between the sets of a repeated doc_id
     sets = keyed.select("doc_id", "rep").distinct()
     least = sets.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
