@@ -15,6 +15,7 @@ from bindings.seeds import seed
 from orderloom.params import Params
 from orderloom.session import prepare
 from orderloom.sources.readers import read_parquet_source
+from orderloom.sources.schemas import WMS
 
 TRIAL = Params(
     go_live=datetime(2024, 1, 3),
@@ -239,6 +240,35 @@ def wms_prtdsc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Keys that other warehouse tables refer to: one value per order, so that they repeat.
+WMS_PARENT_KEYS = ("lodnum", "subnum", "wrkref", "ship_id")
+
+
+def wms_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """`lineitem` as any other warehouse table: its contracted columns and a quantity."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    values = {
+        "prtnum": F.rpad((10000 + F.col("l_partkey")).cast("string"), 30, " "),
+        "prt_client_id": F.lit(" ---- "),
+        "stcust": _text(" C", F.col("l_suppkey")),
+        "wh_id": F.when(F.col("l_suppkey") % 10 == 0, "WMD1").otherwise("CABOT"),
+        "uomlvl": line.cast("string"),
+        "stoloc": F.when(order % 97 != 0, _text("A-", order % 500)),
+        "loaddate": F.timestamp_add(
+            "HOUR", (order % 24).cast("int"), F.lit(datetime(2024, 1, 29))
+        ),
+    }
+    return table(spark, sf_dir, "lineitem").select(
+        *[
+            values.get(
+                c, _text(f"{c}-", order) if c in WMS_PARENT_KEYS else _text(f"{c}-", order, "-", line)
+            ).alias(c)
+            for c in WMS[name].columns
+        ],
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+    )
+
+
 def admin_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`supplier` as users; many share a sales code."""
     s = F.col("s_suppkey")

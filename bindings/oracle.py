@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 
-from bindings.frames import CATEGORY, CLICK, ERROR, PURCHASE, SIGNUP, VIEW
+from bindings.frames import CATEGORY, CLICK, ERROR, PURCHASE, SIGNUP, VIEW, WMS_PARENT_KEYS
 from bindings.seeds import seed_values
+from orderloom.sources.schemas import WMS
 
 STEPS: dict[str, str] = {}
 
@@ -271,6 +272,28 @@ FROM raw_prtmst
 )
 step("stg_wms_prtdsc", "SELECT * FROM raw_prtdsc")
 
+_WMS_VALUES = {
+    "prtnum": "CAST(10000 + l_partkey AS VARCHAR)",
+    "prt_client_id": "'----'",
+    "stcust": "'C' || l_suppkey",
+    "wh_id": "CASE WHEN l_suppkey % 10 = 0 THEN 'WMD1' ELSE 'CABOT' END",
+    "uomlvl": "CAST(l_linenumber AS VARCHAR)",
+    "stoloc": "CASE WHEN l_orderkey % 97 <> 0 THEN 'A-' || (l_orderkey % 500) END",
+    "loaddate": "TIMESTAMP '2024-01-29' + to_hours(l_orderkey % 24)",
+}
+for _name, _spec in WMS.items():
+    if f"stg_wms_{_name}" not in STEPS:
+        _columns = [
+            _WMS_VALUES.get(c, f"'{c}-' || l_orderkey")
+            + ("" if c in _WMS_VALUES or c in WMS_PARENT_KEYS else " || '-' || l_linenumber")
+            + f" AS {c}"
+            for c in _spec.columns
+        ]
+        step(
+            f"stg_wms_{_name}",
+            f"SELECT {', '.join(_columns)}, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem",
+        )
+
 # --- event spine ------------------------------------------------------------------------------
 
 EVENT_TIME = """
@@ -1037,7 +1060,6 @@ for _name, _severity, _m, _keys in (
         "prtnum, prt_client_id, wh_id, snapshot_date",
     ),
     ("items", "error", "items", "prtnum, prt_client_id"),
-    ("wms_prtmst", "warn", "stg_wms_prtmst", "prtnum, prt_client_id, wh_id_tmpl"),
 ):
     _declare(
         f"unique_combination_{_name}",
@@ -1072,6 +1094,30 @@ _declare(
     "warn",
     "SELECT count(*) FROM events_decoded ANTI JOIN seed_event_codes USING (description_code)",
 )
+for _name, _spec in WMS.items():
+    _table, _grain = f"stg_wms_{_name}", ", ".join(_spec.grain)
+    _single = len(_spec.grain) == 1
+    _declare(
+        f"unique_wms_{_name}_{_grain}" if _single else f"unique_combination_wms_{_name}",
+        "warn",
+        f"SELECT count(*) FROM (SELECT {_grain} FROM {_table} "
+        + (f"WHERE {_grain} IS NOT NULL " if _single else "")
+        + "GROUP BY ALL HAVING count(*) > 1)",
+    )
+    for _c in (*(_spec.grain if _single else ()), *_spec.required):
+        _declare(
+            f"not_null_wms_{_name}_{_c}",
+            "error",
+            f"SELECT count(*) FROM {_table} WHERE {_c} IS NULL",
+        )
+    if _spec.parent:
+        _c, _parent, _key = _spec.parent
+        _declare(
+            f"relationships_wms_{_name}_{_c}",
+            "warn",
+            f"SELECT count(*) FROM {_table} WHERE {_c} IS NOT NULL "
+            f"AND {_c} NOT IN (SELECT {_key} FROM stg_wms_{_parent})",
+        )
 _declare("sales_code_present", "warn", "SELECT count(*) FROM check_sales_code_present")
 step(
     "check_summary",
@@ -1084,17 +1130,22 @@ step(
     + ")",
 )
 
-step("source_freshness_report", """
+step(
+    "source_freshness_report",
+    """
 SELECT source_name, max_loaded_at, CAST(floor(age / 3600) AS BIGINT) AS age_hours,
        CASE WHEN age > error_hours * 3600 THEN 'error' WHEN age > warn_hours * 3600 THEN 'warn'
             ELSE 'pass' END AS status
 FROM (SELECT *, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max_loaded_at)) // 1000000 AS age
       FROM (SELECT 'system_event_log' AS source_name, max(created_at) AS max_loaded_at,
                    24 AS warn_hours, 72 AS error_hours FROM raw_versions
-            UNION ALL SELECT 'inv_snap', max(loaddate), 48, NULL FROM raw_inv_snap
-            UNION ALL SELECT 'prtmst', max(loaddate), 168, NULL FROM raw_prtmst
-            UNION ALL SELECT 'prtdsc', max(loaddate), 168, NULL FROM raw_prtdsc))
-""")
+"""
+    + " ".join(
+        f"UNION ALL SELECT '{n}', max(loaddate), {w.warn_hours}, NULL FROM stg_wms_{n}"
+        for n, w in WMS.items()
+    )
+    + "))",
+)
 
 # --- sources, functions, tables and decodes -----------------------------------------------------
 

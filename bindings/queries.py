@@ -28,7 +28,7 @@ from orderloom.plans import (
 from orderloom.session import shared_dir
 from orderloom.sources import readers
 from orderloom.sources.freshness import source_freshness
-from orderloom.sources.schemas import ENVELOPE
+from orderloom.sources.schemas import ENVELOPE, WMS
 from orderloom.streaming import event_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,9 @@ SOURCES = {
 }
 
 
+OTHER_WMS = [name for name in WMS if name not in SOURCES]
+
+
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
     return build
@@ -69,6 +72,8 @@ class Inputs:
 
     def source(self, name: str) -> DataFrame:
         """A source table derived from the given tables, lazily."""
+        if name in OTHER_WMS:
+            return frames.wms_table(self.spark, self.sf_dir, name)
         return SOURCES[name](self.spark, self.sf_dir)
 
     def landed(self, name: str) -> DataFrame:
@@ -203,6 +208,13 @@ def stg_wms_prtdsc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Inputs(spark, sf_dir).wms("prtdsc")
 
 
+def _stage_other(name: str) -> Query:
+    return lambda spark, sf_dir: Inputs(spark, sf_dir).wms(name)
+
+
+QUERIES.update({f"stg_wms_{name}": _stage_other(name) for name in OTHER_WMS})
+
+
 @query
 def parse_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsing functions over every raw event, one column each."""
@@ -481,7 +493,7 @@ def check_sales_code_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every declared check of the event spine, the facts and the item side."""
+    """Every declared check of the event spine, the facts, the item side and the warehouse."""
     inputs = Inputs(spark, sf_dir)
     spine = inputs.spine()
     models = {
@@ -491,7 +503,7 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fct_orders": orders.fct_orders(spine),
         "inventory_daily": inputs.inventory(),
         "items": inputs.items(),
-        "wms_prtmst": inputs.wms("prtmst"),
+        **{f"wms_{name}": inputs.wms(name) for name in WMS},
         "event_codes": inputs.seed["event_codes"],
     }
     return checks.check_summary(quality.declared_checks(models))
@@ -502,9 +514,7 @@ def source_freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = Inputs(spark, sf_dir)
     sources = {
         "system_event_log": inputs.source("raw_events"),
-        "inv_snap": inputs.source("inv_snap"),
-        "prtmst": inputs.source("prtmst"),
-        "prtdsc": inputs.source("prtdsc"),
+        **{name: inputs.source(name) for name in WMS},
     }
     return source_freshness(sources, TRIAL)
 

@@ -90,6 +90,13 @@ def stage_category(raw: DataFrame) -> DataFrame:
 
 
 def stage_wms(table: str, raw: DataFrame) -> DataFrame:
-    """Any warehouse table as landed: every column kept, padded join keys trimmed, no dedupe."""
+    """Any warehouse table as landed: every column kept, padded join keys trimmed, no dedupe.
+
+    The columns that keys, parents, checks and freshness need must be there; a source that has
+    dropped one is refused.
+    """
     padded = WMS[table].trimmed
+    missing = set(WMS[table].columns) - set(raw.columns)
+    if missing:
+        raise ValueError(f"{table} lacks the columns {sorted(missing)}")
     return raw.select(*[F.trim(c).alias(c) if c in padded else F.col(c) for c in raw.columns])

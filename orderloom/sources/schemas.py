@@ -99,6 +99,14 @@ class WmsTable:
     warn_hours: int = 168
     required: tuple[str, ...] = ()  # never NULL, besides a single-column grain
 
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """What every landing of the table must have."""
+        parent = self.parent[:1] if self.parent else ()
+        return tuple(
+            dict.fromkeys((*self.grain, *self.trimmed, *parent, *self.required, "loaddate"))
+        )
+
 
 _ITEM = ("prtnum", "prt_client_id")
 
