@@ -117,7 +117,7 @@ def newton(cells: DataFrame, goals: DataFrame, cap: int) -> DataFrame:
                        F.col("source").eqNullSafe(F.col("_s")), "left")
             .select("source", "target", "words", "tilt", "done", low.alias("low"),
                     high.alias("high"),
-                    (F.col("tilt") - (F.col("got") - F.col("target")) / F.col("slope"))
+                    (F.col("tilt") - F.try_divide(F.col("got") - F.col("target"), F.col("slope")))
                     .alias("next"),
                     (F.abs(F.col("got") - F.col("target"))
                      <= TOLERANCE * F.greatest(F.col("target"), F.lit(1.0))).alias("near"))
@@ -167,7 +167,7 @@ def round_cells(cells: DataFrame, goals: DataFrame, tilts: DataFrame, cap: int)
         room = F.when(F.col("_left") > 0, F.col("n") * cap - F.col("copies")).otherwise(
             F.col("copies")
         )
-        fit = F.floor(F.abs("_left") / F.col("size"))
+        fit = F.floor(F.try_divide(F.abs("_left"), F.col("size")))
         able = (F.col("size") > 0) & (room > 0) & (fit >= 1)
         held = held.withColumn("_pick", F.max(F.when(able, F.col("size"))).over(whole))
         moved = F.when(
