@@ -44,9 +44,13 @@ def test_list_part(spark, payload, position, expected):
         ("1704067200123", datetime(2024, 1, 1, 0, 0, 0, 123000)),
         (" 2024-01-01 10:20:30 ", datetime(2024, 1, 1, 10, 20, 30)),
         ("2024-01-01", datetime(2024, 1, 1)),
-        ("2026-02", None),
+        ("2026-02", datetime(2026, 2, 1)),
+        ("2024-1-5 1:02:03", datetime(2024, 1, 5, 1, 2, 3)),
+        ("2024-01-01T10:20:30Z", datetime(2024, 1, 1, 10, 20, 30)),
+        ("2024-01-01 10:20:30.1234567", datetime(2024, 1, 1, 10, 20, 30, 123456)),
         ("2024-13-01 00:00:00", None),
-        ("2024-01-01 10:20:30+08:00", None),
+        ("2024-01-01 10:20:30+08:00", datetime(2024, 1, 1, 2, 20, 30)),
+        ("999999999999", datetime(2001, 9, 9, 1, 46, 39, 999000)),
         ("99999999999999999999", None),
         ("999999999999999999", None),
         ("garbage", None),
