@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import os
 import re
 from collections.abc import Iterator
 
@@ -44,7 +43,7 @@ from orderloom.llm.common import bounded_batches, scratch, ship, table
 
 ship(__name__)
 
-MODEL_FILE = os.environ.get("PIECE_MODEL_FILE", "/opt/tokenizers/piece_bpe_32k.model")
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
 BLOCK = 256  # chunks whose matrices are combined in one task
 CACHE = 150_000
