@@ -44,9 +44,9 @@ from orderloom.llm.common import bounded_batches, scratch, ship, table
 ship(__name__)
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 16_384
+CHUNK = 65_536
 BLOCK = 256  # chunks whose matrices are combined in one task
-CACHE = 150_000
+CACHE = 300_000
 SPACE, LITERAL = "▁", "\udc00"  # the second stands for a literal U+2581 in a text
 NONE = np.int64(-(1 << 60))
 
@@ -77,6 +77,11 @@ class Vocabulary:
             else re.compile(r"(?s).+")
         )
 
+        self.held: Segments | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"held": None}
+
     @classmethod
     def load(cls, model_file: str) -> Vocabulary:
         import sentencepiece
@@ -101,13 +106,58 @@ def marked(text: str) -> str:
     return SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
 
 
+class Segments(dict):
+    """Tokens by segment. Two generations: what is not asked for again goes."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        super().__init__()
+        self.v, self.older = vocabulary, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        tokens = self.older.get(text)
+        if tokens is None:
+            tokens = self._best(text)
+        if len(text) <= 64:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[text] = tokens
+        return tokens
+
+    def _best(self, text: str) -> tuple[int, ...]:
+        get, unknown, end = self.v.starts.get, self.v.unknown, len(text)
+        best, back = [0] + [int(NONE)] * end, [0] * (end + 1)
+        for i in range(end):
+            here, j = best[i], i + 1
+            s = get(text[i:j])
+            if s is None:
+                s = unknown
+            while s is not False:
+                # nodes are left in order, so the longest of equal last pieces came first
+                if s is not None and here + s > best[j]:
+                    best[j], back[j] = here + s, i
+                j += 1
+                if j > end:
+                    break
+                s = get(text[i:j], False)
+        parts, node = [], end
+        while node:
+            piece = text[back[node] : node]
+            token = self.v.ids.get(piece)
+            parts.append((token,) if token is not None else self.v.fallback(piece))
+            node = back[node]
+        return tuple(itertools.chain.from_iterable(reversed(parts)))
+
+
 class Coder:
     """Best paths over the nodes between characters, with a bounded cache of segments."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.cache: dict[str, tuple[tuple[int, ...], int]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], int]] = {}
+        # kept with the broadcast vocabulary, so that the next task of a worker finds it filled
+        if vocabulary.held is None:
+            vocabulary.held = Segments(vocabulary)
+        self.segments = vocabulary.held
 
     def forward(self, text: str, best: np.ndarray | list, first: int) -> tuple[list, list]:
         """Best scores and last steps of nodes from `first` on; those before are given."""
@@ -146,27 +196,17 @@ class Coder:
             node -= back[node]
         return list(itertools.chain.from_iterable(reversed(steps))), node
 
-    def segment(self, text: str) -> tuple[tuple[int, ...], int]:
-        held = self.cache.get(text)
-        if held is None:
-            held = self.older.get(text)
-            if held is None:
-                best, back = self.forward(text, [0], 1)
-                held = tuple(self.trace(text, back, len(text), 0)[0]), best[-1]
-            if len(text) <= 64:
-                # two generations: what is not asked for again goes
-                if len(self.cache) >= CACHE:
-                    self.cache, self.older = {}, self.cache
-                self.cache[text] = held
-        return held
+    def score(self, text: str) -> int:
+        return self.forward(text, [0], 1)[0][-1]
 
     def encode(self, text: str) -> np.ndarray:
         """Tokens of a text of one chunk."""
         if not text:
             return np.zeros(0, np.int32)
-        segment = self.segment
-        parts = [segment(w)[0] for w in self.v.segments.findall(marked(text))]
-        return np.fromiter(itertools.chain.from_iterable(parts), np.int32)
+        words = self.v.segments.findall(marked(text))
+        return np.fromiter(
+            itertools.chain.from_iterable(map(self.segments.__getitem__, words)), np.int32
+        )
 
     def decode(self, tokens) -> str:
         return b"".join(map(self.v.bytes.__getitem__, tokens)).decode()[1:]
@@ -185,7 +225,7 @@ class Coder:
         stop = cuts[0] if cuts else end
         tail, shared = None, 0
         if cuts:
-            shared = sum(self.segment(text[a:b])[1] for a, b in zip(cuts, cuts[1:]))
+            shared = sum(self.score(text[a:b]) for a, b in zip(cuts, cuts[1:]))
             best, _ = self.forward(text[cuts[-1] :], [0], 1)
             tail = np.array([best[end - cuts[-1] - m] for m in range(size)], np.int64)
         for k in range(min(size, lead + 1)):
@@ -223,7 +263,7 @@ class Coder:
         _, back = self.forward(text[:stop], self._given(start, lead), lead + 1)
         parts = [self.trace(text[:stop], back, stop, lead)[0]]
         if cuts:
-            parts += [self.segment(text[a:b])[0] for a, b in zip(cuts, cuts[1:])]
+            parts += [self.segments[text[a:b]] for a, b in zip(cuts, cuts[1:])]
             last = text[cuts[-1] : end]
             _, back = self.forward(last, [0], 1)
             parts.append(self.trace(last, back, len(last), 0)[0])
