@@ -26,8 +26,9 @@ ship(__name__)
 WORD = r"[^\x20\x09-\x0D]+"
 # A side of at most this many narrow rows (about 16 bytes each) may be broadcast.
 BROADCAST_ROWS = 1_000_000
-# Bytes of text that numpy works on at a time.
-SLICE_BYTES = 2_000_000
+# Bytes of an Arrow batch, and of text that numpy works on at a time.
+BATCH_BYTES = 8 << 20
+SLICE_BYTES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes too, so that very long rows do not add up in a worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "2147483647").rstrip("bB")) > 32 << 20:
-        spark.conf.set(key, str(32 << 20))
+    if int(spark.conf.get(key, "2147483647").rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def scratch(df: DataFrame, label: str) -> DataFrame:

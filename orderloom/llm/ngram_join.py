@@ -12,11 +12,12 @@ from the set sizes keep the product small, and lose nothing:
 * Sizes must be within a factor t; a shared column must leave room for the overlap needed; and a
   summed count must reach the overlap needed less what the other columns can hold.
 
-Documents with equal sets are one row of the matrix. The product is taken in two rounds. In the
-first, each document meets the smallest one of its columns, which is checked exactly and links
-most copies; in the second all pairs of a column not yet in one component are counted. So a
-large group of near copies costs about its size, while no link between components is lost.
-Candidates are decided on their whole sets of 64-bit hashes.
+Documents with equal sets are one row of the matrix. The product is taken in three rounds. In the
+first, each document meets the smallest one of its columns, and in the second the largest
+component of its columns; both are checked exactly and link most copies. In the third all pairs
+of a column not yet in one component are counted. So a large group of near copies costs about its
+size, while no link between components is lost. Candidates are decided on their whole sets of
+64-bit hashes.
 
 Defined results: a null or blank text has an empty set and links with nothing. A text of fewer
 words than `width` is one n-gram. Rows that repeat a doc_id are one document that links through
@@ -331,6 +332,41 @@ def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def largest_neighbours(cross: DataFrame) -> DataFrame:
+    """(doc_id, group): each document with the component it meets most often as the largest one
+    of a column, other than its own."""
+
+    def vote(batches):
+        for t in whole_groups(batches, "col"):
+            cols, docs, root, members = (
+                np.asarray(t.column(c)) for c in ("col", "doc_id", "root", "members")
+            )
+            # the largest component of each column first, the smallest root of equal ones
+            order = np.lexsort((root, -members, cols))
+            cols, docs, root = cols[order], docs[order], root[order]
+            start = np.r_[True, cols[1:] != cols[:-1]]
+            head = root[np.maximum.accumulate(np.where(start, np.arange(len(cols)), 0))]
+            other = head != root
+            docs, head = docs[other], head[other]
+            order = np.lexsort((head, docs))
+            docs, head = docs[order], head[order]
+            at = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (head[1:] != head[:-1])])
+            if len(docs):
+                votes = np.diff(np.r_[at, len(docs)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[at]), pa.array(head[at]), pa.array(votes)],
+                    names=["doc_id", "group", "votes"],
+                )
+
+    dealt = cross.repartition("col").sortWithinPartitions("col")
+    votes = dealt.mapInArrow(vote, "doc_id long, group long, votes long")
+    summed = votes.groupBy("doc_id", "group").agg(F.sum("votes").alias("votes"))
+    best = summed.groupBy("doc_id").agg(
+        F.max(F.struct("votes", (-F.col("group")).alias("g"))).alias("best")
+    )
+    return best.select("doc_id", (-F.col("best.g")).alias("group"))
+
+
 def cross_candidates(cross: DataFrame, percent: int) -> DataFrame:
     """(doc_id, group): documents that could link with a document of the component `group`.
 
@@ -376,7 +412,7 @@ def cross_candidates(cross: DataFrame, percent: int) -> DataFrame:
                         ])
                     )
                     held += len(y)
-                    if held > 1_000_000:
+                    if held > 200_000:
                         yield _summed(found)
                         found, held = [], 0
             if held:
@@ -451,21 +487,28 @@ def jaccard_components(
     )
     leaders = first.select("group", F.col("group").alias("doc_id")).distinct()
     near = scratch(exact_links(first, leaders, rep_texts, width, percent), "near")
-    roots = components(near)
-    documents = reps.groupBy("doc_id").agg(
-        F.max("last").alias("last"), F.count("*").alias("sets")
-    )
-    documents = _follow(documents.withColumn("root", F.col("doc_id")), "root", roots)
-    members = documents.select(F.col("root").alias("group"), "doc_id")
-    sizes = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-    documents = (
-        documents.join(
-            small(scratch(sizes, "sizes")).withColumnRenamed("group", "root"), "root", "left"
+    ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("sets"))
+    ends = scratch(ends, "prefix-ends")
+
+    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Roots of the linked documents, members of all components, columns across them."""
+        roots = components(links)
+        found = _follow(ends.withColumn("root", F.col("doc_id")), "root", roots)
+        members = found.select(F.col("root").alias("group"), "doc_id")
+        sizes = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+        sizes = small(scratch(sizes, "sizes")).withColumnRenamed("group", "root")
+        found = scratch(
+            found.join(sizes, "root", "left").withColumn(
+                "members", F.coalesce("members", F.lit(1))
+            ),
+            "documents",
         )
-        .withColumn("members", F.coalesce("members", F.lit(1)))
-    )
-    documents = scratch(documents, "documents")
-    cross = cross_columns(columns, documents)
+        return roots, members, cross_columns(columns, found)
+
+    # second round: the largest component around each document
+    _, members, cross = labelled(near)
+    more = exact_links(largest_neighbours(cross), members, rep_texts, width, percent)
+    roots, members, cross = labelled(near.union(scratch(more, "near")))
     rest = exact_links(cross_candidates(cross, percent), members, rep_texts, width, percent)
     # links between components of the first round, and between the sets of a repeated doc_id
     sets = keyed.select("doc_id", "rep").distinct()
