@@ -62,19 +62,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that the words of each source meet its target."""
-    docs = docs.select(*COLUMNS)
-    copies = (
-        entropy_mix.mix(docs)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
-        .agg(F.max("copies").alias("_copies"))
-        .where("_copies > 0")
-    )
-    sized = docs.withColumn("_n", entropy_mix.word_count(F.col("text")))
-    dealt = sized.join(
-        copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size"))
-    )
-    repeats = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return dealt.select(*COLUMNS, repeats.alias("_copy")).select(*COLUMNS)
+    dealt = entropy_mix.mix(docs.select(*COLUMNS), keep=("text", "lang", "n_chars"))
+    repeats = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return dealt.where("copies > 0").select(*COLUMNS, repeats.alias("_copy")).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,12 +10,16 @@ as near to its target as whole documents allow: cells are rounded in descending
 error carried on, then what is left is settled with the largest documents that fit into it.
 
 Which documents of a cell get the extra copy is decided by a rank of their hash, counted through
-1024 salted groups, so a cell of any size is split over tasks.
+1024 salted groups, so a cell of any size is split over tasks. Rows without a doc_id, which may
+be copies of one text, are dealt to 64 further groups of their salt.
 
 Defined results: a null text has size zero; documents of size zero are never copied. A null
-source is a source of its own, last in order. A null doc_id is a document like others. Rows that
+source is a source of its own, last in order. A null doc_id is a document like others; each such
+row is one of its own, by the hash of its text and its place in the written table. Rows that
 repeat a document count separately but get the same number of copies where ties of their hash
-allow, by a fixed order. An empty table gives an empty one. Extra columns are ignored.
+allow, by a fixed order. An empty table gives an empty one. Extra columns are ignored unless
+`keep` names them: these go with their row through the dealing, so that each row has its own
+copies.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from orderloom.llm.common import WORD, scratch, table
 
 CAP = 3
 SALTS = 1024
+NULL_PARTS = 64
 NEWTON_STEPS = 40
 SETTLE_STEPS = 12
 TOLERANCE = 1e-9
@@ -182,8 +187,9 @@ def round_cells(cells: DataFrame, goals: DataFrame, tilts: DataFrame, cap: int)
 
 def deal(sized: DataFrame, cells: DataFrame) -> DataFrame:
     """Gives each document of a cell the floor of its share, and the first by hash one more."""
-    keyed = sized.withColumn("_hash", F.xxhash64(F.lit(29), "doc_id"))
-    keyed = keyed.withColumn("_salt", F.pmod(F.shiftrightunsigned("_hash", 12), F.lit(SALTS)))
+    salt = F.pmod(F.shiftrightunsigned("_hash", 12), F.lit(SALTS)) * (NULL_PARTS + 1)
+    part = F.when(F.col("doc_id").isNull(), 1 + F.pmod("_row", F.lit(NULL_PARTS))).otherwise(0)
+    keyed = sized.withColumn("_salt", salt + part)
     counts = keyed.groupBy("source", "size", "_salt").agg(F.count("*").alias("_k"))
     before = (
         Window.partitionBy("source", "size")
@@ -198,7 +204,7 @@ def deal(sized: DataFrame, cells: DataFrame) -> DataFrame:
         F.col("_s").eqNullSafe(F.col("_cs")) & (F.col("_z") == F.col("_cz")),
     )
     rank = F.row_number().over(
-        Window.partitionBy("source", "size", "_salt").orderBy("_hash", "doc_id")
+        Window.partitionBy("source", "size", "_salt").orderBy("_hash", "doc_id", "_row")
     )
     return (
         keyed.withColumn("_rank", rank)
@@ -218,11 +224,24 @@ def deal(sized: DataFrame, cells: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) of every row of docs."""
+def mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (1, 2, 3),
+    cap: int = CAP,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) of every row of docs.
+
+    The columns that `keep` names follow, each row's own.
+    """
+    # the place is written with the row, so all later reads agree on it
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(29), "doc_id")).otherwise(
+        F.xxhash64(F.lit(29), "text")
+    )
+    size = word_count(F.col("text")).alias("size")
     sized = scratch(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
-        "mix-sizes",
+        placed.select("doc_id", "source", size, key.alias("_hash"), "_row", *keep), "mix-sizes"
     )
     cells = scratch(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     per_source = cells.groupBy("source").agg(
@@ -244,7 +263,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP) -
     return dealt.join(
         goals.select(F.col("source").alias("_g"), F.col("words").alias("source_size"), "target"),
         F.col("source").eqNullSafe(F.col("_g")),
-    ).select("doc_id", "source", "size", "source_size", "target", "copies")
+    ).select("doc_id", "source", "size", "source_size", "target", "copies", *keep)
 
 
 def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -342,6 +343,18 @@ def test_every_stage_takes_effect(spark, small):
             assert sorted(r.decoded_sha256 for r in docs.collect()) == digests
 
 
+def test_each_row_without_an_id_keeps_its_own_copies(spark):
+    # by weights 1 and 2, "a" is capped at 3 copies and "b" takes 80 of its 100 rows
+    rows = [(None, f"a one two three {i}", "en", s, i) for s, n in (("a", 10), ("b", 100)) for i in range(n)]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    taken = Counter(r.source for r in mixed)
+    assert taken == {"a": 30, "b": 80}
+    assert {tuple(r) for r in mixed} <= set(rows)
+    assert max(Counter(mixed).values()) == 3
+    assert all(r.source == "a" or n == 1 for r, n in Counter(mixed).items())
+
+
 def test_stages_of_an_empty_table(spark, small):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
