@@ -333,6 +333,7 @@ def seeds(spark: SparkSession) -> dict[str, DataFrame]:
             "event_codes",
             "warn_event_codes",
             "app_category_codes",
+            "layout_codes",
             "jdawms_code_descriptions",
         )
     }

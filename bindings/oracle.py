@@ -79,6 +79,7 @@ for _seed in (
     "event_codes",
     "warn_event_codes",
     "app_category_codes",
+    "layout_codes",
     "jdawms_code_descriptions",
 ):
     step(f"seed_{_seed}", seed_values(_seed))
@@ -1130,6 +1131,124 @@ step(
     + ")",
 )
 
+# The checks of all other models and seeds, for `check_summary_all`.
+_OTHERS = {
+    "app_sources": "seed_app_sources",
+    "system_accounts": "seed_system_accounts",
+    "app_category_codes": "seed_app_category_codes",
+    "warn_event_codes": "seed_warn_event_codes",
+    "layout_codes": "seed_layout_codes",
+    "jdawms_code_descriptions": "seed_jdawms_code_descriptions",
+    "categories": "website_categories",
+    "category_name_aliases": "raw_category_aliases",
+    "item_demand_supply": "item_demand_supply_tuned",
+}
+for _m, _c in (
+    ("stg_admin_users", "user_id"),
+    ("stg_category", "entity_id"),
+    ("fct_events", "entity_id"),
+    ("fct_order_cycles", "cycle_id"),
+    ("quarantine_invalid_source", "entity_id"),
+    ("unmapped_event_codes", "description_code"),
+    ("unmatched_demand_skus", "sku"),
+    ("app_sources", "source_code"),
+    ("system_accounts", "username"),
+    ("categories", "category_id"),
+    ("app_category_codes", "app_category_code"),
+    ("category_name_aliases", "raw_name"),
+    ("warn_event_codes", "description_code"),
+    ("layout_codes", "layout_code"),
+):
+    _declare(
+        f"unique_{_m}_{_c}",
+        "error",
+        f"SELECT count(*) FROM (SELECT {_c} FROM {_OTHERS.get(_m, _m)} WHERE {_c} IS NOT NULL "
+        f"GROUP BY {_c} HAVING count(*) > 1)",
+    )
+for _m, _columns in {
+    "stg_admin_users": ("user_id",),
+    "stg_category": ("entity_id",),
+    "fct_events": ("entity_id",),
+    "fct_order_cycles": ("cycle_id", "customer_key"),
+    "item_demand_daily": ("activity_date", "sku"),
+    "item_demand_supply": ("prtnum", "week_start"),
+    "customer_weekly": ("customer_key", "week_start"),
+    "rep_weekly": ("sales_code", "week_start"),
+    "feature_pairing": ("week_start", "feature_a", "feature_b"),
+    "quarantine_invalid_source": ("entity_id",),
+    "unmapped_event_codes": ("description_code",),
+    "unmatched_demand_skus": ("sku",),
+    "app_sources": ("source_code",),
+    "system_accounts": ("username",),
+    "categories": ("category_id", "category_name"),
+    "app_category_codes": ("app_category_code", "category_name"),
+    "category_name_aliases": ("raw_name", "alias_type"),
+    "warn_event_codes": ("description_code", "log_level"),
+    "layout_codes": ("layout_code", "layout_name"),
+    "jdawms_code_descriptions": ("code_domain", "code_value", "long_description"),
+}.items():
+    for _c in _columns:
+        _declare(
+            f"not_null_{_m}_{_c}",
+            "error",
+            f"SELECT count(*) FROM {_OTHERS.get(_m, _m)} WHERE {_c} IS NULL",
+        )
+for _m, _keys in (
+    ("item_demand_daily", "sku, activity_date, source_system"),
+    ("item_demand_supply", "prtnum, week_start"),
+    ("jdawms_code_descriptions", "code_domain, code_value"),
+):
+    _declare(
+        f"unique_combination_{_m}",
+        "error",
+        f"SELECT count(*) FROM (SELECT {_keys} FROM {_OTHERS.get(_m, _m)} "
+        "GROUP BY ALL HAVING count(*) > 1)",
+    )
+for _m, _c, _values in (
+    ("fct_order_cycles", "cycle_status", "'submitted', 'abandoned', 'open'"),
+    ("fct_order_cycles", "segment_name", "'churner', 'quick_reorder', 'browser', 'mixed'"),
+    ("customer_weekly", "service_mode", "'self_service', 'sales_assisted', 'mixed'"),
+    (
+        "item_demand_supply",
+        "signal",
+        "'missed_opportunity', 'restock_risk', 'promote_candidate', 'healthy'",
+    ),
+    ("app_sources", "user_type", "'Sales', 'Customer'"),
+    ("app_sources", "platform", "'iOS', 'Android', 'Web'"),
+    ("app_category_codes", "code_type", "'real_category', 'virtual_slot'"),
+    (
+        "category_name_aliases",
+        "alias_type",
+        "'aggregate_view_all', 'category_match', 'ui_label', 'search_query', 'brand_keyword', "
+        "'error_payload'",
+    ),
+):
+    _declare(
+        f"accepted_values_{_m}_{_c}",
+        "error",
+        f"SELECT count(DISTINCT {_c}) FROM {_OTHERS.get(_m, _m)} WHERE {_c} NOT IN ({_values})",
+    )
+for _m, _c, _severity, _parent in (
+    ("item_demand_supply", "prtnum", "error", "items"),
+    ("category_name_aliases", "category_id", "warn", "website_categories"),
+):
+    _declare(
+        f"relationships_{_m}_{_c}",
+        _severity,
+        f"SELECT count(*) FROM {_OTHERS.get(_m, _m)} WHERE {_c} IS NOT NULL "
+        f"AND {_c} NOT IN (SELECT {_c} FROM {_parent})",
+    )
+step(
+    "check_summary_all",
+    "SELECT check_name, severity, failures, "
+    "CASE WHEN failures > 0 THEN severity ELSE 'pass' END AS status FROM (\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{n}' AS check_name, '{s}' AS severity, ({q}) AS failures"
+        for n, s, q in _CHECKS
+    )
+    + ")",
+)
+
 step(
     "source_freshness_report",
     """

@@ -132,6 +132,17 @@ class Inputs:
     def rep_cycles(self) -> DataFrame:
         return reps.rep_order_cycle(self.spine(), TRIAL)
 
+    def customer_weekly(self) -> DataFrame:
+        spine = self.spine()
+        return scorecards.customer_weekly(
+            spine, self.order_cycles_table(), orders.fct_orders(spine), TRIAL
+        )
+
+    def rep_weekly(self) -> DataFrame:
+        return scorecards.rep_weekly(
+            self.order_cycles_table(), orders.fct_orders(self.spine()), self.admin_users()
+        )
+
     # Finished tables, for the models that read them.
 
     def decoded_table(self) -> DataFrame:
@@ -143,6 +154,12 @@ class Inputs:
     def order_cycles_table(self) -> DataFrame:
         return self._once("fct_order_cycles", self.order_cycles)
 
+    def demand_daily_table(self) -> DataFrame:
+        return self._once("item_demand_daily", self.demand_daily)
+
+    def customer_weekly_table(self) -> DataFrame:
+        return self._once("customer_weekly", self.customer_weekly)
+
     def rep_cycles_table(self) -> DataFrame:
         return self._once("rep_order_cycle", self.rep_cycles)
 
@@ -389,11 +406,7 @@ def restock_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def customer_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = Inputs(spark, sf_dir)
-    spine = inputs.spine()
-    return scorecards.customer_weekly(
-        spine, inputs.order_cycles_table(), orders.fct_orders(spine), TRIAL
-    )
+    return Inputs(spark, sf_dir).customer_weekly()
 
 
 @query
@@ -403,10 +416,7 @@ def feature_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rep_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = Inputs(spark, sf_dir)
-    return scorecards.rep_weekly(
-        inputs.order_cycles_table(), orders.fct_orders(inputs.spine()), inputs.admin_users()
-    )
+    return Inputs(spark, sf_dir).rep_weekly()
 
 
 @query
@@ -491,12 +501,9 @@ def check_sales_code_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.sales_code_check(Inputs(spark, sf_dir).decoded_table()).violations
 
 
-@query
-def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every declared check of the event spine, the facts, the item side and the warehouse."""
-    inputs = Inputs(spark, sf_dir)
+def _base_models(inputs: Inputs) -> dict[str, DataFrame]:
     spine = inputs.spine()
-    models = {
+    return {
         "stg_event_log": inputs.staged(),
         "events_decoded": inputs.decoded_table(),
         "events_enriched": spine,
@@ -506,6 +513,41 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         **{f"wms_{name}": inputs.wms(name) for name in WMS},
         "event_codes": inputs.seed["event_codes"],
     }
+
+
+@query
+def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared checks of the event spine, orders, stock, items and the warehouse."""
+    return checks.check_summary(quality.declared_checks(_base_models(Inputs(spark, sf_dir))))
+
+
+@query
+def check_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared check of every model and seed."""
+    inputs = Inputs(spark, sf_dir)
+    spine, demand_daily = inputs.spine(), inputs.demand_daily_table()
+    models = {
+        **_base_models(inputs),
+        **inputs.seed,
+        "stg_admin_users": inputs.admin_users(),
+        "stg_category": staging.stage_category(inputs.source("category")),
+        "fct_events": events.fct_events(spine),
+        "fct_order_cycles": inputs.order_cycles_table(),
+        "item_demand_daily": demand_daily,
+        "item_demand_supply": inputs.mart_table(),
+        "customer_weekly": inputs.customer_weekly_table(),
+        "rep_weekly": inputs.rep_weekly(),
+        "feature_pairing": scorecards.feature_pairing(spine),
+        "quarantine_invalid_source": quality.quarantine_invalid_source(
+            inputs.staged(), inputs.seed["app_sources"]
+        ),
+        "unmapped_event_codes": quality.unmapped_event_codes(
+            inputs.decoded_table(), inputs.seed["event_codes"]
+        ),
+        "unmatched_demand_skus": quality.unmatched_demand_skus(demand_daily, inputs.items()),
+        "categories": inputs.categories(),
+        "category_name_aliases": inputs.source("category_aliases"),
+    }
     return checks.check_summary(quality.declared_checks(models))
 
 

@@ -131,6 +131,14 @@ _TABLES: dict[str, tuple[list[str], list[tuple]]] = {
         ["app_category_code", "app_id", "ust_category_id", "category_name", "code_type"],
         APP_CATEGORY_CODES,
     ),
+    "layout_codes": (
+        ["layout_code", "layout_name", "notes"],
+        [
+            ("0", "Standard Layout", None),
+            ("1", "Builder Layout", None),
+            ("2", "New Layout", "used by most"),
+        ],
+    ),
     "jdawms_code_descriptions": (
         ["code_domain", "code_value", "long_description", "short_description"],
         CODE_DESCRIPTIONS,

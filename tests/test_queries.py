@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from bindings.queries import QUERIES
+from orderloom.plans import quality
 from tests.compare import connect, differences
 
 
@@ -20,3 +21,17 @@ def test_every_query_has_comparison_sql():
 def test_query_matches_sql(spark, small, duck, name):
     result = entry.queries()[name](spark, small)
     assert differences(result, entry.oracle_sql()[name], duck) == []
+
+
+def test_the_summary_of_all_checks_runs_every_declared_check(spark, small):
+    declared = {f"unique_{m}_{c}" for m, columns in quality.UNIQUE.items() for c in columns}
+    declared |= {f"not_null_{m}_{c}" for m, columns in quality.NOT_NULL.items() for c in columns}
+    declared |= {f"unique_combination_{m}" for m in quality.COMBINATION}
+    declared |= {f"accepted_values_{m}_{c}" for m, c in quality.ACCEPTED}
+    declared |= {f"relationships_{m}_{c}" for m, c in quality.RELATIONSHIPS}
+    declared.add("sales_code_present")
+    ran = [r.check_name for r in entry.queries()["check_summary_all"](spark, small).collect()]
+    assert len(ran) == len(set(ran))
+    assert {n for n in ran if "_wms_" not in n} == declared
+    base = {r.check_name for r in entry.queries()["check_summary"](spark, small).collect()}
+    assert {n for n in base if "_wms_" in n} == {n for n in ran if "_wms_" in n} != set()
