@@ -274,6 +274,18 @@ def test_mixtures_unknown_texts_and_clashing_columns(spark):
     assert {r.lang_pred for r in language_mix.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_the_pipeline_learns_from_rows_that_op10_holds_out_and_from_rows_without_an_id(spark):
+    english = "the cat and the dog with this house that was there " * 6
+    german = "der hund und die katze mit dem haus das dort nicht war " * 6
+    french = "le chat et le chien dans la maison qui n'est pas ici " * 6
+    held = [r[0] for r in spark.range(60).where(language_mix.third("id") == 1).collect()]
+    other = [r[0] for r in spark.range(60).where(language_mix.third("id") != 1).collect()]
+    rows = [(i, german, "de", None, 0) for i in held] + [(None, french, "fr", None, 0)] * 5
+    rows += [(i, english, "en", None, 0) for i in other]
+    got = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOCS), "").collect()
+    assert Counter((r.text, r.lang) for r in got) == Counter((r[1], r[2]) for r in rows)
+
+
 def test_the_mixture_maximises_the_likelihood():
     rng = np.random.default_rng(0)
     logs = np.log(rng.dirichlet(np.ones(50), size=2))
