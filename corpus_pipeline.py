@@ -36,21 +36,49 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near duplicates.
 
-    Of rows that repeat a doc_id one stays. Rows without a doc_id are in no group and stay.
+    Rows that repeat a doc_id with different texts are documents of their own, the smallest by a
+    hash of the text; of those with one text the first by lang, source and n_chars stays. Rows
+    without a doc_id are in no group and stay.
     """
     docs = docs.select(*COLUMNS)
-    found = scratch(ngram_join.jaccard_components(docs), "groups")
-    dropped = scratch(
-        found.where("component_id <> doc_id").select("doc_id").distinct(), "dropped"
-    )
     repeated = scratch(
-        found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+        docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
         "repeated",
     )
-    kept = docs.join(small(dropped), "doc_id", "left_anti")
-    once = kept.join(small(repeated), "doc_id", "left_anti")
-    again = kept.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).select(*COLUMNS)
+    ids = small(repeated.select(F.col("doc_id").alias("_id")))
+    again = F.col("_id").isNotNull()
+    key = F.when(again, F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))
+    keyed = docs.join(ids, F.col("doc_id") == F.col("_id"), "left").select(
+        *COLUMNS, again.alias("_again"), key.alias("_key")
+    )
+    groups = ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    found = scratch(
+        groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"),
+        "groups",
+    )
+    names = scratch(keyed.where("_again").select("_key", "doc_id").distinct(), "names")
+    named = found.join(small(names), "_key", "left").withColumn(
+        "doc_id", F.coalesce("doc_id", "_key")
+    )
+    # components are named by their smallest key, which is not of the smallest doc_id in these
+    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("least"))
+    moved = scratch(
+        least.select("component_id", F.col("least._key").alias("_first"))
+        .where("_first <> component_id"),
+        "moved",
+    )
+    dropped = scratch(
+        found.join(small(moved), "component_id", "left")
+        .where("_key <> coalesce(_first, component_id)").select("_key").distinct(),
+        "dropped",
+    )
+    kept = keyed.join(small(dropped), "_key", "left_anti")
+    first = F.min(F.struct("lang", "source", "n_chars")).alias("_row")
+    copies = kept.where("_again").groupBy("doc_id", "text").agg(first)
+    return (
+        kept.where("NOT _again").select(*COLUMNS)
+        .unionByName(copies.select("doc_id", "text", "_row.*"))
+    )
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

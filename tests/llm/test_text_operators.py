@@ -355,6 +355,22 @@ def test_every_stage_takes_effect(spark, small):
             assert sorted(r.decoded_sha256 for r in docs.collect()) == digests
 
 
+def test_distinct_texts_of_one_id_stay_and_their_copies_go(spark):
+    one = "a long passage about the harbour and its boats in the early winter morning"
+    two = "quite another text on the cultivation of beans behind a small white house"
+    rows = [(5, one, "en", "s", 1), (5, two, "en", "s", 1), (5, two, "en", "r", 1), (5, "", "en", "s", 0),
+            (3, two, "en", "s", 1), (9, one, "en", "s", 1), (7, "alone", "en", "s", 1),
+            (None, one, "en", "s", 1)]
+    for part in (1, 3):
+        docs = spark.createDataFrame(rows, DOCS).repartition(part)
+        got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+        assert set(map(tuple, got)) == {rows[0], rows[3], rows[4], rows[6], rows[7]}
+        assert len(got) == 5
+    docs = spark.createDataFrame(rows[1:3] + rows[:1], DOCS)
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(map(tuple, got)) == sorted([rows[0], rows[2]])
+
+
 def test_each_row_without_an_id_keeps_its_own_copies(spark):
     # by weights 1 and 2, "a" is capped at 3 copies and "b" takes 80 of its 100 rows
     rows = [(None, f"a one two three {i}", "en", s, i) for s, n in (("a", 10), ("b", 100)) for i in range(n)]
