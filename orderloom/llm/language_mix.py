@@ -149,8 +149,8 @@ def infer(counts: list[tuple[np.ndarray, np.ndarray]], logs: np.ndarray, penalty
     while len(open_docs):
         rest = np.where(chosen[open_docs], -1.0, proposed[open_docs])
         add = rest.argmax(1)
-        # a share of less than one part in a hundred cannot pay the penalty
-        able = rest[np.arange(len(open_docs)), add] > 0.01
+        # however small its share, a language may pay the penalty in a long text
+        able = rest[np.arange(len(open_docs)), add] > 0
         open_docs, add = open_docs[able], add[able]
         if len(open_docs) == 0:
             break

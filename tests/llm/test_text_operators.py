@@ -298,6 +298,16 @@ def test_the_mixture_maximises_the_likelihood():
     assert rounds > 0 and abs(share[0, 0] - best[1]) < 0.05 and fit[0] >= best[0] - 0.5
 
 
+def test_a_language_of_less_than_a_hundredth_is_found_in_a_long_text():
+    rng = np.random.default_rng(1)
+    words = rng.dirichlet(np.full(500, 0.1), size=3) + 1e-9
+    logs = np.log(words / words.sum(1, keepdims=True))
+    n = rng.multinomial(60_000, 0.993 * np.exp(logs[0]) + 0.007 * np.exp(logs[2]))
+    some = np.flatnonzero(n)
+    share = language_mix.infer([(some, n[some])], logs, language_mix.PENALTY)
+    assert 0.003 < share[0, 2] < 0.01 and share[0, 1] == 0 and share[0, 0] > 0.99
+
+
 # ---- resampling ------------------------------------------------------------------------------
 
 
