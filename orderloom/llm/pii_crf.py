@@ -174,7 +174,7 @@ _CUES = frozenset("at dot com org net de phone tel call ring mail email card pay
 def shape(word: str) -> str:
     """Letters as x or X, digits as d with runs of up to four kept, other marks as they are."""
     out, last, run = [], "", 0
-    for c in word[:64]:
+    for c in word:
         k = "d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c
         run = run + 1 if k == last else 1
         last = k

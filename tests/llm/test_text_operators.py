@@ -152,6 +152,12 @@ def test_the_field_learns_held_out_sentences_and_spares_numbers(crf):
     ]
 
 
+def test_shapes_cover_long_words():
+    start = "ab/" * 40
+    assert pii_crf.shape(start + "12@c.de") == "x/" * 40 + "dd@x.x"
+    assert pii_crf.features(start + "x@y") != pii_crf.features(start + "x=y")
+
+
 def test_viterbi_matches_all_paths(crf):
     words = ["call", "(076)", "555-8046"]
     e = crf.scores([words])[0]
