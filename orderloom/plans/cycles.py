@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import classify, clock
@@ -135,27 +135,34 @@ def cycle_bursts(numbered: DataFrame) -> DataFrame:
     )
 
 
-def _dominant_app() -> Column:
-    """Application with the most events; ties go to the first name, then the first code.
-
-    The buffer holds one counter per registered application.
-    """
-    return F.mode(F.struct("app_name", "source_code"), True)
+def _first_app(events: str) -> Column:
+    """The application with the most events; ties go to the first name, then the first code."""
+    return F.min(F.struct((-F.col(events)).alias("rank"), "app_name", "source_code"))
 
 
 def cycle_dominant_app(numbered: DataFrame) -> DataFrame:
+    """Application with the most events of each cycle, from counts per application.
+
+    Counts are plain sums, which stay right when an aggregate falls back to sorting; `mode` over
+    a struct does not.
+    """
+    apps = numbered.groupBy("customer_key", "cycle_seq", "app_name", "source_code").agg(
+        F.count(F.lit(1)).alias("_events")
+    )
     return (
-        numbered.groupBy("customer_key", "cycle_seq")
-        .agg(_dominant_app().alias("_app"))
+        apps.groupBy("customer_key", "cycle_seq")
+        .agg(_first_app("_events").alias("_app"))
         .select("customer_key", "cycle_seq", "_app.app_name", "_app.source_code")
     )
 
 
 def fct_order_cycles(enriched: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row per shopping cycle, from a single aggregation of the numbered events.
+    """One row per shopping cycle, from one chain of aggregations of the numbered events.
 
-    Bursts, active minutes and active days are sums over steps between neighbouring events, so
-    the only distinct count left is that of cart items.
+    Bursts, active minutes and active days are sums over steps between neighbouring events. All
+    measures are first reduced to one row per cycle, application and cart item, which map tasks
+    do before anything is shuffled; these rows are dealt by cycle once, and give the counts per
+    application, the distinct items and the totals.
     """
     numbered = number_cycles(cycle_events(enriched, params), params)
     opens_cycle = F.col("starts_cycle")
@@ -163,33 +170,43 @@ def fct_order_cycles(enriched: DataFrame, params: Params = Params()) -> DataFram
     opens_day = opens_cycle | (clock.day("event_at_utc") != clock.day("previous_at"))
     step = clock.minutes_between("previous_at", "event_at_utc")
     by_rep = F.col("actor_type") == "sales"
-
-    def feature(name: str) -> Column:
-        return F.count_if(F.col("feature_name") == name)
-
-    def section(name: str) -> Column:
-        return F.count_if(F.col("page_context") == name)
-
-    totals = numbered.groupBy("customer_key", "cycle_seq").agg(
+    summed = {
+        "burst_count": F.count_if(opens_burst),
+        "active_minutes": F.sum(F.when(opens_burst, 0).otherwise(step)),
+        "days_active": F.count_if(opens_day),
+        "event_count": F.count(F.lit(1)),
+        "add_count": F.count_if("is_add"),
+        "remove_count": F.count_if("is_remove"),
+        "qty_change_count": F.count_if("is_qty_change"),
+        **{f"_{f}": F.count_if(F.col("feature_name") == f) for f in classify.FEATURES},
+        **{f"{s}_count": F.count_if(F.col("page_context") == s) for s in classify.PAGE_CONTEXTS},
+    }
+    greatest = {
+        "ended_at_utc": F.col("event_at_utc"),
+        "is_sales_assisted": by_rep,
+        "sales_code": F.when(by_rep, F.col("sales_code")),
+        "rep_username": F.when(by_rep, F.col("username")),
+        "is_submitted": F.col("is_submit"),
+        "submit_increment_id": F.col("submit_increment_id"),
+        "submitted_at_utc": F.when(F.col("is_submit"), F.col("event_at_utc")),
+    }
+    parts = numbered.groupBy(
+        "customer_key", "cycle_seq", "app_name", "source_code", "cart_sku"
+    ).agg(
         F.min("event_at_utc").alias("started_at_utc"),
-        F.max("event_at_utc").alias("ended_at_utc"),
-        F.count_if(opens_burst).alias("burst_count"),
-        F.sum(F.when(opens_burst, 0).otherwise(step)).alias("active_minutes"),
-        F.count_if(opens_day).alias("days_active"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_if("is_add").alias("add_count"),
-        F.count_if("is_remove").alias("remove_count"),
-        F.count_if("is_qty_change").alias("qty_change_count"),
+        *[F.max(value).alias(name) for name, value in greatest.items()],
+        *[value.alias(name) for name, value in summed.items()],
+    )
+    app = Window.partitionBy("customer_key", "cycle_seq", "app_name", "source_code")
+    dealt = parts.repartition("customer_key", "cycle_seq").withColumn(
+        "_app_events", F.sum("event_count").over(app)
+    )
+    totals = dealt.groupBy("customer_key", "cycle_seq").agg(
+        F.min("started_at_utc").alias("started_at_utc"),
+        *[F.max(name).alias(name) for name in greatest],
+        *[F.sum(name).alias(name) for name in summed],
         F.count_distinct("cart_sku").alias("distinct_skus"),
-        *[feature(f).alias(f"_{f}") for f in classify.FEATURES],
-        *[section(s).alias(f"{s}_count") for s in classify.PAGE_CONTEXTS],
-        F.max(by_rep).alias("is_sales_assisted"),
-        F.max(F.when(by_rep, F.col("sales_code"))).alias("sales_code"),
-        F.max(F.when(by_rep, F.col("username"))).alias("rep_username"),
-        F.max("is_submit").alias("is_submitted"),
-        F.max("submit_increment_id").alias("submit_increment_id"),
-        F.max(F.when(F.col("is_submit"), F.col("event_at_utc"))).alias("submitted_at_utc"),
-        _dominant_app().alias("_app"),
+        _first_app("_app_events").alias("_app"),
     )
     features_used = sum((F.col(f"_{f}") > 0).cast("bigint") for f in classify.FEATURES)
     submitted = F.col("is_submitted")

@@ -217,6 +217,25 @@ def test_dominant_application_ties_go_to_the_first_name(spark):
     assert (out.app_name, out.source_code) == ("Vegas", "Vegas-A")
 
 
+def test_dominant_application_holds_with_many_cycles_in_a_partition(spark):
+    # 300 cycles in few partitions: more groups than an object aggregate keeps before it sorts
+    rows = []
+    for i in range(300):
+        of = dict(customer_key=f"K{i}", username=f"K{i}")
+        rows += [
+            add(3 * i, app_name="Vegas", source_code="Vegas-I", **of),
+            add(3 * i + 1, app_name="Web", source_code="Web", **of),
+            add(3 * i + 2, app_name="Web", source_code="Web", **of),
+        ]
+    events = spine(spark, rows).coalesce(1)
+    numbered = cycles.number_cycles(cycles.cycle_events(events, P), P)
+    for out in (cycles.cycle_dominant_app(numbered), cycles.fct_order_cycles(events, P)):
+        assert {(r.app_name, r.source_code) for r in out.collect()} == {("Web", "Web")}
+        assert out.count() == 300
+    plan = cycles.fct_order_cycles(events, P)._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan
+
+
 def test_status_of_an_unsubmitted_cycle_depends_on_as_of(spark):
     rows = [add(0)]
     status = lambda day: (

@@ -23,6 +23,13 @@ def test_query_matches_sql(spark, small, duck, name):
     assert differences(result, entry.oracle_sql()[name], duck) == []
 
 
+@pytest.mark.parametrize("name", ["cycle_dominant_app", "fct_order_cycles", "cycle_bursts"])
+def test_cycle_query_matches_sql_with_many_groups(spark, name):
+    folder = "/root/testdata/sf0.01"
+    result = entry.queries()[name](spark, folder)
+    assert differences(result, entry.oracle_sql()[name], connect(folder)) == []
+
+
 def test_the_summary_of_all_checks_runs_every_declared_check(spark, small):
     declared = {f"unique_{m}_{c}" for m, columns in quality.UNIQUE.items() for c in columns}
     declared |= {f"not_null_{m}_{c}" for m, columns in quality.NOT_NULL.items() for c in columns}
