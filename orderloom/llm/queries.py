@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from orderloom.llm.cross_tokens import op12_cross_tokens
+from orderloom.llm.decontaminate import OP13_SQL, op13_decontaminate
 from orderloom.llm.entropy_mix import op9_entropy_mix
+from orderloom.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from orderloom.llm.hilbert_search import op8_hilbert_search
 from orderloom.llm.language_mix import op10_language_mix
 from orderloom.llm.merkle import op3_merkle
@@ -24,5 +27,14 @@ QUERIES = {
     "op8_hilbert_search": op8_hilbert_search,
     "op9_entropy_mix": op9_entropy_mix,
     "op10_language_mix": op10_language_mix,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_cross_tokens": op12_cross_tokens,
+    "op13_decontaminate": op13_decontaminate,
+}
+ORACLE_SQL = {
+    "op1_warc": OP1_SQL,
+    "op5_url_filters": OP5_SQL,
+    "op7_ngram_join": OP7_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op13_decontaminate": OP13_SQL,
 }
-ORACLE_SQL = {"op1_warc": OP1_SQL, "op5_url_filters": OP5_SQL, "op7_ngram_join": OP7_SQL}
