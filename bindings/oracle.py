@@ -1359,6 +1359,26 @@ step("stream_daily_demand", """
 SELECT * FROM item_demand_daily
 """)
 
+step("read_large_envelope", "SELECT * FROM flatten_envelope")
+step("flatten_to_parquet", """
+SELECT entity_id, description_code, response, updated_at FROM flatten_envelope
+QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY updated_at DESC NULLS LAST) = 1
+""")
+step("seed_rows_and_rejects", """
+SELECT 'row' AS kind, p_partkey AS id,
+       '"' || p_name || '", ' || p_partkey || chr(10) || 'of ' || p_brand AS name
+FROM part WHERE p_partkey % 10 <> 0
+UNION ALL SELECT 'reject', p_partkey, NULL FROM part WHERE p_partkey % 10 = 0
+""")
+step("refresh_cycles", "SELECT * FROM fct_order_cycles")
+step("rebuilt_table", "SELECT * FROM fct_orders")
+step("stored_failures", """
+SELECT check_name, severity, failures FROM check_summary WHERE failures > 0
+""")
+step("stored_freshness", """
+SELECT * FROM source_freshness_report WHERE source_name = 'system_event_log'
+""")
+
 # Queries whose step goes by another name.
 ALIASES = {
     "cycle_bursts": "cycle_bursts_tuned",

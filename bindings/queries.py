@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bindings import frames
 from bindings.frames import TRIAL, TUNED
@@ -26,7 +27,7 @@ from orderloom.plans import (
     supply,
 )
 from orderloom.session import shared_dir
-from orderloom.sources import readers
+from orderloom.sources import freshness, readers
 from orderloom.sources.freshness import source_freshness
 from orderloom.sources.schemas import ENVELOPE, WMS
 from orderloom.streaming import event_streams
@@ -195,6 +196,89 @@ def flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def read_large_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as text of envelopes, read back by splits of 64 KB."""
+    raw = Inputs(spark, sf_dir).source("raw_events")
+    event = F.struct(
+        *[
+            F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+            if c in ("created_at", "updated_at")
+            else F.col(c)
+            for c in readers.EVENT_COLUMNS
+        ]
+    )
+    pages = raw.groupBy(F.floor(F.col("entity_id") / 1000).alias("current_page")).agg(
+        F.collect_list(event).alias("data")
+    )
+    body = F.struct(
+        F.lit(200).alias("code"), F.lit("ok").alias("msg"), F.struct("current_page", "data").alias("data")
+    )
+    folder = shared_dir(spark, "envelopes")
+    pages.select(F.to_json(body)).write.text(folder)
+    read = readers.read_large_envelope(spark, folder)
+    return read.select(
+        *[
+            F.col(c).cast("timestamp").alias(c) if c in ("created_at", "updated_at") else c
+            for c in readers.EVENT_COLUMNS
+        ]
+    )
+
+
+@query
+def flatten_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events as pages of the export, landed as the latest version of each event."""
+    raw = Inputs(spark, sf_dir).source("raw_events")
+    event = F.struct(
+        *[
+            F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+            if c in ("created_at", "updated_at")
+            else F.col(c)
+            for c in readers.EVENT_COLUMNS
+        ]
+    )
+    pages = raw.groupBy(F.floor(F.col("entity_id") / 100).alias("current_page")).agg(
+        F.collect_list(event).alias("data")
+    )
+    body = F.struct(F.lit(200).alias("code"), F.struct("current_page", "data").alias("data"))
+    folder, target = shared_dir(spark, "pages"), shared_dir(spark, "flat")
+    pages.select(F.to_json(body)).write.text(folder)
+    readers.flatten_to_parquet(spark, folder, target, large=True)
+    return spark.read.parquet(target).select(
+        "entity_id", "description_code", "response", F.col("updated_at").cast("timestamp").alias("updated_at")
+    )
+
+
+@query
+def seed_rows_and_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a reference CSV with quotes, commas and line breaks, every tenth one damaged."""
+    part = frames.table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    listed = part.select(
+        F.when(key % 10 == 0, F.concat(F.lit("no "), key.cast("string"))).otherwise(key.cast("string")).alias("id"),
+        F.concat(F.lit('"'), "p_name", F.lit('", '), key.cast("string"), F.lit("\nof "), "p_brand").alias("name"),
+    )
+    folder = shared_dir(spark, "seeds")
+    listed.write.option("header", True).option("escape", '"').csv(f"{folder}/seed_parts.csv")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    rows, rejects = readers.read_seed_checked(spark, folder, "parts", schema)
+    rejected = rejects.select(
+        F.lit("reject").alias("kind"),
+        F.regexp_extract("record", "no ([0-9]+)", 1).cast("long").alias("id"),
+        F.lit(None).cast("string").alias("name"),
+    )
+    return rows.select(F.lit("row").alias("kind"), "id", "name").unionByName(rejected)
+
+
+@query
+def rebuilt_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact, written twice as a whole: only the second version is read."""
+    inputs, path = Inputs(spark, sf_dir), shared_dir(spark, "rebuilt")
+    fact = orders.fct_orders(inputs.spine())
+    tables.rebuild(fact.where("increment_id < 'M5'"), path)
+    return tables.rebuild(fact, path)
+
+
 @query
 def stg_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Inputs(spark, sf_dir).staged()
@@ -331,6 +415,19 @@ def refresh_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(Inputs(spark, sf_dir), build.refresh_fct_orders, "fct-orders")
 
 
+@query
+def refresh_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cycles after a load that lacks late events, and a refresh with all of them."""
+    spine, path = Inputs(spark, sf_dir).spine(), shared_dir(spark, "cycles")
+    late = F.col("event_at_utc") >= spine.agg(
+        F.timestamp_add("DAY", F.lit(-TRIAL.late_window_days), F.max("event_at_utc"))
+    ).scalar()
+    missing = F.coalesce(late, F.lit(False)) & (F.col("entity_id") % 3 == 0)
+    cycles.refresh_order_cycles(spine.where(~missing), path, TRIAL)
+    cycles.refresh_order_cycles(spine, path, TRIAL)
+    return cycles.stored_order_cycles(spark, path, TRIAL)
+
+
 @query
 def trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events an incremental refresh of the event fact would reprocess."""
@@ -521,6 +618,22 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_summary(quality.declared_checks(_base_models(Inputs(spark, sf_dir))))
 
 
+@query
+def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the stored violations of each failed check stand for."""
+    declared = quality.declared_checks(_base_models(Inputs(spark, sf_dir)))
+    stored = checks.store_failures(declared, shared_dir(spark, "test-failures"))
+    return stored.groupBy("check_name", "severity").agg(F.sum("n").alias("failures"))
+
+
+@query
+def stored_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age of the landed events, from the manifest of their table."""
+    path = shared_dir(spark, "landed-events")
+    tables.rebuild(Inputs(spark, sf_dir).source("raw_events"), path)
+    return freshness.stored_freshness(spark, {"system_event_log": path}, TRIAL)
+
+
 @query
 def check_summary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared check of every model and seed."""

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.tables import rebuild
+
 N = "n_records"
 
 
@@ -75,12 +77,14 @@ def not_null_check(name: str, df: DataFrame, column: str) -> Check:
     return row_check(name, df, F.col(column).isNull())
 
 
-def check_summary(checks: list[Check]) -> DataFrame:
+def check_summary(checks: list[Check], known: dict[str, int] | None = None) -> DataFrame:
     """One row per check: failing rows and pass, or the severity of the failure.
 
     Checks of single rows share one scan per source; every other check reads the columns it
-    needs and reduces them before anything is shuffled.
+    needs and reduces them before anything is shuffled. `known` has the failing rows of checks
+    that were counted while their table was written: these scan nothing.
     """
+    known = known or {}
 
     def rows(name: str, severity: str, failures: str | Column) -> Column:
         failures = F.col(failures) if isinstance(failures, str) else failures
@@ -93,7 +97,14 @@ def check_summary(checks: list[Check]) -> DataFrame:
 
     by_source: dict[int, list[Check]] = {}
     parts = []
+    told = [c for c in checks if c.name in known]
+    if told:
+        listed = [rows(c.name, c.severity, F.lit(known[c.name]).cast("bigint")) for c in told]
+        one = told[0].violations.sparkSession.range(1)
+        parts.append(one.select(F.explode(F.array(*listed)).alias("r")))
     for check in checks:
+        if check.name in known:
+            continue
         if check.condition is not None:
             by_source.setdefault(id(check.source), []).append(check)
             continue
@@ -108,7 +119,45 @@ def check_summary(checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("r.*")
 
 
-def store_failures(checks: list[Check], folder: str) -> None:
-    """Write the violating rows of each check to a folder of its own."""
+def failures(checks: list[Check]) -> DataFrame:
+    """(check_name, severity, n, record) of all violations; `record` is the failing row as JSON.
+
+    Checks of single rows share one scan per source: a row is tagged with every check it fails.
+    `n` is the number of rows that a record stands for. Summed by check it is the summary's count.
+    """
+    by_source: dict[int, list[Check]] = {}
+    parts = []
+    one = F.lit(1).cast("bigint")
     for check in checks:
-        check.violations.write.mode("overwrite").parquet(f"{folder}/{check.name}")
+        if check.condition is not None:
+            by_source.setdefault(id(check.source), []).append(check)
+            continue
+        parts.append(
+            check.violations.select(
+                F.lit(check.name).alias("check_name"),
+                F.lit(check.severity).alias("severity"),
+                (F.col(N).cast("bigint") if check.per_value else one).alias("n"),
+                F.to_json(F.struct("*")).alias("record"),
+            )
+        )
+    for group in by_source.values():
+        source = group[0].source
+        tags = F.array(
+            *[
+                F.when(c.condition, F.struct(F.lit(c.name).alias("name"), F.lit(c.severity).alias("of")))
+                for c in group
+            ]
+        )
+        # the condition first, so that a scan can drop the sound rows by it
+        failing = reduce(lambda a, b: a | b, [F.coalesce(c.condition, F.lit(False)) for c in group])
+        parts.append(
+            source.where(failing)
+            .select(F.to_json(F.struct("*")).alias("record"), F.explode(F.array_compact(tags)).alias("t"))
+            .select(F.col("t.name").alias("check_name"), F.col("t.of").alias("severity"), one.alias("n"), "record")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def store_failures(checks: list[Check], folder: str) -> DataFrame:
+    """Write the violations of all checks as one table, partitioned by the check's name."""
+    return rebuild(failures(checks), folder, "check_name")

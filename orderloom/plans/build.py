@@ -56,14 +56,10 @@ def refresh_fct_orders(enriched: DataFrame, path: str, params: Params) -> None:
 
 
 def _late(enriched: DataFrame, path: str, target_ts: str, params: Params) -> DataFrame:
-    spark = enriched.sparkSession
-    if not tables.table_exists(spark, path):
-        return enriched
-    return tables.trailing_window(
+    return tables.since(
         enriched,
-        tables.read_upserted(spark, path),
+        tables.high_water(enriched.sparkSession, path, target_ts),
         "event_at_utc",
-        target_ts,
         params.late_window_days,
         EVENT_DAY if EVENT_DAY in enriched.columns else None,
     )
@@ -82,7 +78,8 @@ def build(
     seed = sources.seeds
 
     def table(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        return tables.rebuild(df, f"{warehouse}/{name}", partition_by)
+        counted = quality.row_conditions(name)
+        return tables.rebuild(df, f"{warehouse}/{name}", partition_by, counted)
 
     # written once: the decode, the quarantine, the audits and the checks read it
     staged = table("stg_event_log", staging.stage_events(sources.event_log))
@@ -156,11 +153,17 @@ def build(
 
 
 def run_checks(models: dict[str, DataFrame], warehouse: str) -> DataFrame:
-    """Runs every declared check, keeps the rows that failed, returns the summary."""
+    """Runs every declared check, keeps the rows that failed, returns the summary.
+
+    Row checks of tables that `build` wrote were counted as they were written.
+    """
     declared = quality.declared_checks(models)
-    summary = tables.rebuild(check_summary(declared), f"{warehouse}/check_summary")
+    spark = next(iter(models.values())).sparkSession
+    known = {n: k for m in models for n, k in tables.counts(spark, f"{warehouse}/{m}").items()}
+    summary = tables.rebuild(check_summary(declared, known), f"{warehouse}/check_summary")
     failed = {r.check_name for r in summary.filter("status <> 'pass'").collect()}
-    store_failures([c for c in declared if c.name in failed], f"{warehouse}/test_failures")
+    if failed:
+        store_failures([c for c in declared if c.name in failed], f"{warehouse}/test_failures")
     return summary
 
 

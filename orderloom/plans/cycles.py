@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import classify, clock
 from orderloom.functions.text import kv_value, list_part
+from orderloom.operators import tables
 from orderloom.operators.slices import SLICE, across_slices, slice_of, up_to_here, within_slice
 from orderloom.params import Params
+from orderloom.session import shared_dir
 
 _KEYS = ["customer_key"]
 
@@ -164,7 +166,12 @@ def fct_order_cycles(enriched: DataFrame, params: Params = Params()) -> DataFram
     do before anything is shuffled; these rows are dealt by cycle once, and give the counts per
     application, the distinct items and the totals.
     """
-    numbered = number_cycles(cycle_events(enriched, params), params)
+    return with_status(cycle_facts(cycle_events(enriched, params), params), params)
+
+
+def cycle_facts(events: DataFrame, params: Params) -> DataFrame:
+    """Cycles of narrowed events, without the status, which depends on the clock."""
+    numbered = number_cycles(events, params)
     opens_cycle = F.col("starts_cycle")
     opens_burst = F.col("starts_burst") | opens_cycle
     opens_day = opens_cycle | (clock.day("event_at_utc") != clock.day("previous_at"))
@@ -243,11 +250,6 @@ def fct_order_cycles(enriched: DataFrame, params: Params = Params()) -> DataFram
         F.when(submitted, clock.days_between("started_at_utc", "submitted_at_utc")).alias(
             "days_to_close"
         ),
-        classify.cycle_status(
-            submitted,
-            clock.days_between("ended_at_utc", params.now()),
-            params.cycle_abandon_days,
-        ).alias("cycle_status"),
         classify.cycle_segment(
             F.col("add_count"),
             F.col("remove_count"),
@@ -256,3 +258,109 @@ def fct_order_cycles(enriched: DataFrame, params: Params = Params()) -> DataFram
             F.col("active_minutes"),
         ).alias("segment_name"),
     )
+
+
+def with_status(facts: DataFrame, params: Params) -> DataFrame:
+    status = classify.cycle_status(
+        F.col("is_submitted"),
+        clock.days_between("ended_at_utc", params.now()),
+        params.cycle_abandon_days,
+    )
+    return facts.select(
+        *[c for c in facts.columns if c != "segment_name"], status.alias("cycle_status"), "segment_name"
+    )
+
+
+# ---- incremental -------------------------------------------------------------------------------
+
+
+def refresh_order_cycles(
+    enriched: DataFrame, path: str, params: Params = Params(), day: str | None = None
+) -> None:
+    """Redo the cycles that the trailing window of events can have changed, and no others.
+
+    A new event at a time t leaves alone all cycles of its customer that began before the one t
+    falls into. So each customer of the window is redone from the beginning of that cycle, or
+    from t if no stored cycle is near enough. The stored cycles are in blocks of the week they
+    begin in; blocks whose last event is further back than a cycle can reach are not read: the
+    manifest knows their times. `carry` beside the table holds each customer's last number, for
+    customers with no cycle in the blocks that are read.
+
+    `day` names the column that the events are partitioned by, if any. The status of a cycle
+    depends on the clock and is added on reading, by `stored_order_cycles`.
+    """
+    spark = enriched.sparkSession
+    events = cycle_events(enriched, params)
+    table, carry = f"{path}/cycles", f"{path}/carry"
+    before = tables.manifest(spark, table)
+    week = F.floor(F.unix_seconds("started_at_utc") / (7 * 86_400)).cast("int")
+    scratch: list[str] = []
+
+    def written(df: DataFrame, label: str) -> DataFrame:
+        scratch.append(shared_dir(spark, label))
+        df.write.parquet(scratch[-1])
+        return spark.read.schema(df.schema).parquet(scratch[-1])
+
+    try:
+        touched, kept = [], None
+        if before is None:
+            facts = cycle_facts(events, params)
+        else:
+            newest = tables.high_water(spark, table, "ended_at_utc")
+            late = tables.since(enriched, newest, "event_at_utc", params.late_window_days, day)
+            first = written(
+                cycle_events(late, params).groupBy("customer_key").agg(F.min("event_at_utc").alias("t")),
+                "late-customers",
+            )
+            earliest = first.agg(F.min(F.unix_micros("t"))).first()[0]
+            if earliest is None:
+                return
+            reach = earliest - params.cycle_abandon_days * 86_400_000_000
+            near = [f for f in before["folders"] if f["high"]["ended_at_utc"] >= reach]
+            stored = tables.read_table(spark, table, near)
+            known = stored.join(first, "customer_key").groupBy("customer_key", "t").agg(
+                F.max(F.when(F.col("started_at_utc") <= F.col("t"), F.struct("cycle_seq", "started_at_utc")))
+                .alias("in_cycle"),
+                F.min("cycle_seq").alias("next_seq"),
+            ).drop("t")
+            last = tables.read_table(spark, carry).select("customer_key", "last_seq")
+            redo = written(
+                first.join(known, "customer_key", "left").join(last, "customer_key", "left").select(
+                    "customer_key",
+                    F.coalesce("in_cycle.started_at_utc", "t").alias("redo_from"),
+                    F.coalesce(
+                        F.col("in_cycle.cycle_seq") - 1, F.col("next_seq") - 1, "last_seq", F.lit(0)
+                    ).alias("done"),
+                ),
+                "redo",
+            )
+            oldest = redo.agg(F.min(F.unix_micros("redo_from"))).first()[0]
+            again = cycle_events(tables.since(enriched, oldest, "event_at_utc", 0, day), params)
+            again = again.join(redo, "customer_key").where("event_at_utc >= redo_from")
+            made = cycle_facts(again.drop("redo_from", "done"), params)
+            number = F.col("cycle_seq") + F.col("done")
+            facts = made.join(redo, "customer_key").withColumns(
+                {
+                    "cycle_seq": number,
+                    "cycle_id": F.concat_ws("-", "customer_key", number.cast("string")),
+                }
+            ).select(*made.columns)
+            kept = (
+                stored.join(redo, "customer_key", "left")
+                .where("done IS NULL OR cycle_seq <= done")
+                .select(*stored.columns)
+            )
+            touched = near
+        facts = written(facts, "cycles")
+        every = facts if kept is None else kept.unionByName(facts)
+        tables.replace_blocks(spark, table, before, touched, every.withColumn(tables.BLOCK, week))
+        numbers = facts.groupBy("customer_key").agg(F.max("cycle_seq").alias("last_seq"))
+        bucket = F.pmod(F.xxhash64("customer_key"), F.lit(64)).cast("int")
+        tables.upsert_table(numbers, carry, "customer_key", [F.desc("last_seq")], bucket)
+    finally:
+        for folder in scratch:
+            tables.discard(spark, folder)
+
+
+def stored_order_cycles(spark: SparkSession, path: str, params: Params = Params()) -> DataFrame:
+    return with_status(tables.read_table(spark, f"{path}/cycles"), params)

@@ -60,7 +60,7 @@ def demand_events(enriched: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _demand_measures() -> list[Column]:
+def demand_measures() -> list[Column]:
     return [
         F.count_if(F.col("feature_name") == "item_detail").alias("item_detail_views"),
         F.count_if(F.col("feature_name") == "image_enlarge").alias("image_enlarge_views"),
@@ -86,7 +86,7 @@ def demand_by_day(events: DataFrame) -> DataFrame:
         "cart_add_qty",
     ]
     per_customer = events.groupBy("sku", "activity_date", "customer_key").agg(
-        *_demand_measures(),
+        *demand_measures(),
         F.max(F.col("actor_type") == "customer").alias("_self"),
     )
     # Item first, then day: the order stock is grouped in, so that joining both moves neither.

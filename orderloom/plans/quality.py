@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import classify, clock
@@ -97,13 +97,17 @@ def unmatched_demand_skus(demand_daily: DataFrame, item_master: DataFrame) -> Da
     )
 
 
+def without_sales_code() -> Column:
+    blank = blank_to_null(F.trim("sales_code")).isNull()
+    return classify.is_sales_app("source_code") & blank
+
+
 def sales_code_check(decoded: DataFrame) -> Check:
     """Sales-application events that carry no sales code; only a warning."""
-    blank = blank_to_null(F.trim("sales_code")).isNull()
     return row_check(
         "sales_code_present",
         decoded,
-        classify.is_sales_app("source_code") & blank,
+        without_sales_code(),
         "warn",
         ["entity_id", "source_code", "username", "sales_code", "created_at_utc"],
     )
@@ -224,6 +228,14 @@ RELATIONSHIPS = {
 }
 
 
+def row_conditions(model: str) -> dict[str, Column]:
+    """The conditions of a model's row checks by the check's name, to be counted as it is written."""
+    found = {f"not_null_{model}_{c}": F.col(c).isNull() for c in NOT_NULL.get(model, [])}
+    if model == "events_decoded":
+        found["sales_code_present"] = without_sales_code()
+    return found
+
+
 def declared_checks(models: dict[str, DataFrame]) -> list[Check]:
     """The declared checks of whichever models are given.
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from bindings.frames import TRIAL
+from orderloom.operators import tables
 from orderloom.plans import build as pipeline
 from orderloom.plans import events, orders
 from orderloom.session import shared_dir
@@ -42,14 +43,14 @@ def test_builds_in_two_steps_equal_one(spark, models):
     summary = {r.check_name: r for r in pipeline.run_checks(built, warehouse).collect()}
     failed = {n for n, r in summary.items() if r.status == "error"}
     assert failed == {"not_null_stg_event_log_source"}
-    stored = spark.read.parquet(f"{warehouse}/test_failures/not_null_stg_event_log_source")
+    stored = tables.read_table(spark, f"{warehouse}/test_failures")
+    stored = stored.where("check_name = 'not_null_stg_event_log_source'")
     assert stored.count() == summary["not_null_stg_event_log_source"].failures > 0
     assert summary["relationships_events_decoded_description_code"].status == "warn"
 
 
 def test_refresh_skips_old_partitions(spark, models):
     from orderloom.functions import clock
-    from orderloom.operators import tables
 
     path = shared_dir(spark, "by-day")
     by_day = tables.rebuild(

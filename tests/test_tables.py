@@ -1,10 +1,12 @@
 import json
 import os
-import re
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from bindings import frames
 from orderloom.operators import checks, decode, tables
@@ -12,7 +14,7 @@ from orderloom.params import Params
 from orderloom.plans import cycles, demand, events, quality, staging
 from orderloom.session import shared_dir
 from orderloom.sources import readers
-from orderloom.sources.freshness import source_freshness
+from orderloom.sources.freshness import source_freshness, stored_freshness
 from orderloom.streaming import event_streams
 
 
@@ -159,8 +161,8 @@ def test_checks_treat_nulls_as_declared(spark):
 def test_failures_are_stored_per_check(spark, tmp_path):
     df = spark.createDataFrame([(1,), (1,)], "k int")
     found = [checks.Check("unique_k", checks.unique(df, "k"), "warn")]
-    checks.store_failures(found, str(tmp_path))
-    assert spark.read.parquet(str(tmp_path / "unique_k")).count() == 1
+    stored = checks.store_failures(found, str(tmp_path / "failures"))
+    assert rows(stored.where("check_name = 'unique_k'").select("n")) == [(1,)]
     assert rows(checks.check_summary(found)) == [("unique_k", "warn", 1, "warn")]
 
 
@@ -286,23 +288,292 @@ def test_an_upsert_reads_and_rewrites_only_touched_blocks(spark, tmp_path, monke
     path = str(tmp_path / "table")
     block = F.floor(key / 100).cast("int")
     tables.upsert_table(load, path, "id", [F.col("at").desc()], block)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
-    stored, batch = spark.read.parquet(path), load.filter("id = 250").withColumn("v", F.lit(1))
-    touched = tables.touched_blocks(stored, batch.withColumn(tables.BLOCK, block))
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*_block#\d+ (= 2|IN \(2\))", plan), plan
-    folders = []
-    made = tables.shared_dir
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("part-*.parquet")}
+    batch = load.filter("id = 250").withColumn("v", F.lit(1))
+    folders, asked = [], []
+    made, read_ = tables.shared_dir, tables.read_table
     monkeypatch.setattr(
         tables, "shared_dir", lambda *a: folders.append(made(*a)) or folders[-1]
     )
+    monkeypatch.setattr(tables, "read_table", lambda *a: asked.append(a[2:]) or read_(*a))
     tables.upsert_table(batch, path, "id", [F.col("at").desc()], block)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
-    kept = {p: t for p, t in before.items() if f"{tables.BLOCK}=2/" not in str(p)}
-    assert kept.items() <= after.items() and after.keys() - kept.keys()
+    monkeypatch.undo()
+    assert [[f["block"] for f in x[0]] for x in asked] == [[2]]
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("part-*.parquet")}
+    assert before.items() <= after.items()
+    new = after.keys() - before.keys()
+    assert new and all(f"{tables.BLOCK}=2/" in str(p) for p in new)
     now = tables.read_upserted(spark, path)
     assert now.count() == 1000 and [r.id for r in now.filter("v = 1").collect()] == [250]
-    assert len(folders) == 2 and not any(os.path.exists(f) for f in folders)
+    assert len(folders) == 1 and not any(os.path.exists(f) for f in folders)
+
+
+# --- versions -------------------------------------------------------------------------------------
+
+
+def test_a_write_that_fails_leaves_the_table_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(spark, path, (1, 1, "a"), (12, 1, "b"))
+    kept = read(spark, path)
+    data = lambda: sorted(os.listdir(tmp_path / "t" / "data"))
+    before = data()
+    publish = tables.publish
+
+    def broken(*_, **__):
+        raise OSError("the last step fails")
+
+    monkeypatch.setattr(tables, "publish", broken)
+    with pytest.raises(OSError):
+        upsert(spark, path, (1, 2, "new"), (30, 1, "c"))
+    with pytest.raises(OSError):
+        tables.rebuild(batch(spark, (7, 7, "x")), path)
+    assert read(spark, path) == kept and data() == before
+    monkeypatch.setattr(tables, "publish", publish)
+    upsert(spark, path, (1, 2, "new"))
+    assert read(spark, path) == [(1, 2, "new"), (12, 1, "b")]
+
+
+def test_a_task_that_fails_leaves_the_table_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, (1, 1, "a"), (12, 1, "b"))
+    bad = batch(spark, (2, 1, "c")).withColumn("name", F.raise_error(F.lit("no")).cast("string"))
+    for write in (
+        lambda: tables.rebuild(bad, path),
+        lambda: tables.upsert_table(bad, path, "id", newest(), tables.id_block("id", 10)),
+    ):
+        with pytest.raises(Exception, match="no"):
+            write()
+        assert read(spark, path) == [(1, 1, "a"), (12, 1, "b")]
+
+
+def test_readers_keep_the_version_they_opened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    opened = tables.rebuild(batch(spark, (1, 1, "a")), path)
+    tables.rebuild(batch(spark, (2, 1, "b"), (3, 1, "c")), path)
+    upsert(spark, path, (4, 1, "d"))
+    assert rows(opened) == [(1, 1, "a")]
+    assert read(spark, path) == [(2, 1, "b"), (3, 1, "c"), (4, 1, "d")]
+
+
+def test_old_versions_and_their_folders_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(tables.KEPT_VERSIONS + 3):
+        upsert(spark, path, (1, i, "a"))
+    assert len(tables._versions(spark, path)) == tables.KEPT_VERSIONS
+    folders = list((tmp_path / "t" / "data").glob(f"*/{tables.BLOCK}=*"))
+    assert len(folders) == tables.KEPT_VERSIONS
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, (1, 1, "a"))
+    begun = tables.manifest(spark, path)
+    upsert(spark, path, (2, 1, "b"))
+    late = batch(spark, (3, 1, "c")).withColumn(tables.BLOCK, F.lit(0))
+    with pytest.raises(tables.ConcurrentWrite):
+        tables.replace_blocks(spark, path, begun, [], late)
+    assert read(spark, path) == [(1, 1, "a"), (2, 1, "b")]
+
+
+def test_high_water_comes_from_the_manifest(spark, tmp_path):
+    day = lambda n: datetime(2024, 1, n, 12)
+    at = spark.createDataFrame([(n, day(n)) for n in range(1, 11)], "id long, at timestamp")
+    path = str(tmp_path / "t")
+    tables.upsert_table(at, path, "id", [F.col("at").desc()], tables.id_block("id", 4))
+    known = tables.high_water(spark, path, "at")
+    assert known == int(at.agg(F.max(F.unix_micros("at"))).first()[0])
+    late = tables.since(at, known, "at", 3)
+    assert rows(late) == rows(tables.trailing_window(at, at, "at", "at", 3)) != []
+    plan = tables.since(tables.read_table(spark, path), known, "at")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(at), GreaterThanOrEqual(at" in text
+    assert tables.high_water(spark, str(tmp_path / "none"), "at") is None
+    assert tables.since(at, None, "at").count() == 10
+
+
+def test_appended_rows_are_folded_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(7):
+        more = spark.createDataFrame([(i,)], "id long").withColumn(tables.BLOCK, F.lit(0))
+        tables.append_rows(spark, path, more, most=3)
+    assert rows(tables.read_table(spark, path)) == [(i,) for i in range(7)]
+    assert len(tables.manifest(spark, path)["folders"]) <= 3
+
+
+def test_freshness_of_stored_tables(spark, tmp_path):
+    now = datetime(2024, 1, 10)
+    for hours, status in ((24, "pass"), (73, "error")):
+        path = str(tmp_path / str(hours))
+        df = spark.createDataFrame([(now - timedelta(hours=hours),)], "created_at timestamp")
+        tables.rebuild(df, path)
+        stored = stored_freshness(spark, {"system_event_log": path}, Params(as_of=now))
+        assert rows(stored) == rows(source_freshness({"system_event_log": df}, Params(as_of=now)))
+        assert stored.first()["status"] == status
+
+
+def test_row_checks_are_counted_by_the_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(None, "x"), (2, None), (None, None)], "k int, v string")
+    conditions = {"no_k": F.col("k").isNull(), "no_v": F.col("v").isNull()}
+    stored = tables.rebuild(df, path, counted=conditions)
+    known = tables.counts(spark, path)
+    assert known == {"no_k": 2, "no_v": 2}
+    found = [checks.row_check(n, stored, c) for n, c in conditions.items()]
+    summary = checks.check_summary(found, known)
+    assert "FileScan" not in summary._jdf.queryExecution().executedPlan().toString()
+    assert rows(summary) == rows(checks.check_summary(found))
+
+
+# --- streams with state ---------------------------------------------------------------------------
+
+EVENTS = "entity_id long, customer_key string, event_at_utc timestamp"
+
+
+def burst_batches(spark, folder, batches):
+    for i, events in enumerate(batches):
+        rows_ = [(n, c, datetime(2024, 1, 1) + timedelta(minutes=m)) for n, c, m in events]
+        spark.createDataFrame(rows_, EVENTS).coalesce(1).write.mode("append").parquet(f"{folder}/{i}")
+
+
+def expected_bursts(spark, events):
+    rows_ = [(n, c, datetime(2024, 1, 1) + timedelta(minutes=m)) for n, c, m in events]
+    return rows(event_streams.session_bursts(spark.createDataFrame(rows_, EVENTS), Params()))
+
+
+BATCHES = [
+    [(1, "A", 0), (2, "A", 30), (3, "B", 5), (4, "A", 200)],
+    [(5, "A", 115), (2, "A", 30), (6, "C", 40_000)],  # out of order; 2 comes again
+    [(7, "A", 60), (8, "A", 175), (9, "B", 65), (10, "B", 126)],  # 7 and 8 join bursts; 60 minutes exactly
+    [(11, "C", 39_945), (12, "C", 39_000)],
+]
+
+
+def test_sessions_after_each_batch_are_those_of_the_events_so_far(spark, tmp_path):
+    target, seen = str(tmp_path / "bursts"), {}
+    for n, events in enumerate(BATCHES):
+        fresh = [e for e in events if e[0] not in seen]
+        seen |= {e[0]: e for e in events}
+        rows_ = [(i, c, datetime(2024, 1, 1) + timedelta(minutes=m)) for i, c, m in fresh]
+        df = spark.createDataFrame(rows_, EVENTS)
+        for _ in range(2):  # a batch that runs again changes nothing
+            event_streams.merge_sessions(df, target, 60, ("stream", n))
+        now = event_streams.current_bursts(spark, target)
+        assert rows(now) == expected_bursts(spark, seen.values())
+
+
+def test_a_merge_leaves_far_weeks_alone(spark, tmp_path):
+    target = str(tmp_path / "bursts")
+    week = 7 * 24 * 60
+    first = [(i, "A", i * week) for i in range(5)]
+    merge = lambda events, n: event_streams.merge_sessions(
+        spark.createDataFrame(
+            [(i, c, datetime(2024, 1, 1) + timedelta(minutes=m)) for i, c, m in events], EVENTS
+        ), target, 60, ("s", n),
+    )
+    merge(first, 0)
+    before = {f["folder"] for f in tables.manifest(spark, target)["folders"]}
+    merge([(9, "A", 2 * week + 30)], 1)
+    after = {f["folder"] for f in tables.manifest(spark, target)["folders"]}
+    assert len(before & after) == 4 and len(after) == 5
+
+
+def test_a_burst_stream_that_stops_and_starts_ends_at_the_batch_result(spark, tmp_path, monkeypatch):
+    source, target, state = (str(tmp_path / x) for x in ("in", "bursts", "state"))
+    monkeypatch.setattr(event_streams, "cycle_events", lambda e, p: e)
+    reader = lambda: spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    seen, replace = {}, event_streams.replace_blocks
+    for n, events in enumerate(BATCHES):
+        burst_batches(spark, source, BATCHES[: n + 1][n:]) if n == 0 else spark.createDataFrame(
+            [(i, c, datetime(2024, 1, 1) + timedelta(minutes=m)) for i, c, m in events], EVENTS
+        ).coalesce(1).write.parquet(f"{source}/{n}")
+        if n == 2:  # dies after its version is published, before the batch is recorded
+            def dies(*a, **k):
+                replace(*a, **k)
+                raise RuntimeError("lost driver")
+
+            monkeypatch.setattr(event_streams, "replace_blocks", dies)
+            with pytest.raises(StreamingQueryException):
+                event_streams.stream_bursts(reader(), target, state).awaitTermination()
+            monkeypatch.setattr(event_streams, "replace_blocks", replace)
+        event_streams.stream_bursts(reader(), target, state).awaitTermination()
+        seen |= {e[0]: e for e in events}
+        assert rows(event_streams.current_bursts(spark, target)) == expected_bursts(spark, seen.values())
+
+
+def test_streamed_demand_updates_cells_batch_by_batch(spark, models, tmp_path):
+    params, target = frames.TRIAL, str(tmp_path / "demand")
+    source = str(tmp_path / "in")
+    # spread over batches without any order, so that days and customers come back
+    models.spine().repartition(3, F.pmod(F.xxhash64("entity_id"), F.lit(3))).write.parquet(source)
+    stream = event_streams.read_event_stream(spark, source, files_per_batch=1)
+    event_streams.stream_daily_demand(stream, target, str(tmp_path / "cp"), params).awaitTermination()
+    batch_ = demand.item_demand_daily(models.spine(), params)
+    got = event_streams.current_demand(spark, target, params)
+    assert got.columns == batch_.columns and got.dtypes == batch_.dtypes
+    assert rows(got) == rows(batch_)
+    codes = tables.read_table(spark, f"{target}/customers")
+    assert codes.count() == codes.select("code").distinct().count() > 0
+    top = codes.agg(F.max("place")).first()[0]
+    assert top * event_streams.CODE_BUCKETS < 40 * codes.count()
+
+
+# --- sources --------------------------------------------------------------------------------------
+
+
+def test_one_large_envelope_is_read_by_several_tasks(spark, tmp_path):
+    odd = ['a "quoted" {"entity_id": 1} text', "}, {", '{"entity_id" : 5', "line\nbreak {", "{{{", "ü\\"]
+    events = []
+    for i in range(3000):
+        event = {c: f"{c} {i}" for c in readers.EVENT_COLUMNS if c != "entity_id"}
+        event["response"] = odd[i % len(odd)] if i % 3 else None
+        events.append({"entity_id": i, **event} if i % 2 else {**event, "entity_id": i})
+    body = {"code": 200, "msg": "{ok", "data": {"current_page": 1, "data": events, "total": 3000}}
+    for name, indent in (("flat", None), ("indented", 2)):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "all.json").write_text(json.dumps(body, indent=indent, ensure_ascii=indent is None))
+        empty = {"code": 200, "msg": "", "data": {"current_page": 1, "data": [], "total": 0}}
+        (folder / "none.json").write_text(json.dumps(empty))
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+        try:
+            read_back = readers.read_large_envelope(spark, str(folder))
+            whole = readers.read_event_envelope(spark, str(folder))
+            assert Counter(map(tuple, read_back.collect())) == Counter(map(tuple, whole.collect()))
+            assert read_back.rdd.getNumPartitions() > 8
+            assert read_back.count() == 3000
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_damaged_seed_rows_are_listed(spark, tmp_path):
+    (tmp_path / "seed_codes.csv").write_text(
+        'id,name\n1,"a ""b"", c"\nx,bad\n2,"two\nlines"\n3\n4,d,more\n'
+    )
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    sound, rejects = readers.read_seed_checked(spark, str(tmp_path), "codes", schema)
+    assert rows(sound) == [(1, 'a "b", c'), (2, "two\nlines")]
+    assert sorted(r.record for r in rejects.collect()) == ["3", "4,d,more", "x,bad"]
+    assert {r.file for r in rejects.collect()} == {"seed_codes.csv"}
+
+
+def test_failures_of_one_source_come_from_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(None, "x"), (None, None), (1, "y")], "k int, v string").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = [
+        checks.not_null_check("not_null_k", df, "k"),
+        checks.not_null_check("not_null_v", df, "v"),
+        checks.row_check("v_is_x", df, F.col("v") != "x", "warn"),
+    ]
+    out = checks.failures(found)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted((r.check_name, r.severity, r.n, r.record) for r in out.collect()) == [
+        ("not_null_k", "error", 1, '{"v":"x"}'),
+        ("not_null_k", "error", 1, "{}"),
+        ("not_null_v", "error", 1, "{}"),
+        ("v_is_x", "warn", 1, '{"k":1,"v":"y"}'),
+    ]
 
 
 def test_a_daily_dedupe_reads_only_what_is_asked(spark, small):
