@@ -160,7 +160,7 @@ def contamination(
     width: int = WIDTH,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """(doc_id, digest, n_words, spans, items, copies) of every distinct (doc_id, text).
+    """(doc_id, digest, n_words, spans, items, copies) of every distinct (doc_id, text), written.
 
     `digest` is the MD5 of the text, `spans` are merged word ranges [start, end), `items` the
     sorted ids with an occurring window, and `copies` the number of rows.
@@ -186,7 +186,7 @@ def contamination(
     )
     sets = grams.groupBy("set_id").agg(F.first("items").alias("members"))
     listed = found.select("*", F.explode_outer("sets").alias("set_id")).join(sets, "set_id", "left")
-    return (
+    done = (
         listed.groupBy("id", "digest")
         .agg(
             *[F.first(c).alias(c) for c in ("copies", "n_words", "hits")],
@@ -201,6 +201,7 @@ def contamination(
             "copies",
         )
     )
+    return scratch(done, "contamination")
 
 
 def covered(spans: Column) -> Column:
@@ -222,20 +223,23 @@ def each_row(found: DataFrame) -> DataFrame:
 
 def without_spans(text: Column, spans: Column) -> Column:
     """The text without the words of the spans and what stands between these words."""
-    pieces = F.regexp_extract_all(text, F.lit(PIECES))
-    first = F.when(F.size(words(F.element_at(pieces, 1))) > 0, 0).otherwise(1)
-    # word i is piece 2 i + first, counted from 0
-    begin = lambda s: 2 * s["start"] + first
-    end = lambda s: 2 * s["end"] - 1 + first
-    gap = lambda lo, hi: F.array_join(F.slice(pieces, lo + 1, hi - lo), "")
-    inner = F.transform(
-        spans,
-        lambda s, i: gap(
-            F.when(i == 0, 0).otherwise(end(F.element_at(spans, F.greatest(i, F.lit(1))))), begin(s)
-        ),
-    )
-    rest = gap(end(F.element_at(spans, -1)), F.size(pieces))
-    return F.concat(F.array_join(inner, ""), rest)
+
+    def cut(pieces: Column) -> Column:
+        first = F.when(F.size(words(F.element_at(pieces, 1))) > 0, 0).otherwise(1)
+        # word i is piece 2 i + first, counted from 0
+        begin = lambda s: 2 * s["start"] + first
+        end = lambda s: 2 * s["end"] - 1 + first
+        gap = lambda lo, hi: F.array_join(F.slice(pieces, lo + 1, hi - lo), "")
+        inner = F.transform(
+            spans,
+            lambda s, i: gap(
+                F.when(i == 0, 0).otherwise(end(F.element_at(spans, F.greatest(i, F.lit(1))))), begin(s)
+            ),
+        )
+        rest = gap(end(F.element_at(spans, -1)), F.size(pieces))
+        return F.concat(F.array_join(inner, ""), rest)
+
+    return _let(F.regexp_extract_all(text, F.lit(PIECES)), cut)
 
 
 def decontaminate(
@@ -269,7 +273,7 @@ def decontaminate(
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = each_row(scratch(contamination(docs, items), "contamination"))
+    found = each_row(contamination(docs, items))
     return found.select(
         "doc_id",
         "n_words",
