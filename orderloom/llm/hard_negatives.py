@@ -48,7 +48,7 @@ BLOCK = 1024
 CHUNK = 256
 WINDOW = 64
 # Rows of the first level, about; each level after it has GROWTH times as many.
-FIRST_LEVEL = 16_384
+FIRST_LEVEL = 1024
 GROWTH = 16
 LONGEST = float(1 << 28)
 # Stored angles are 32-bit floats of an arccosine taken in doubles.
