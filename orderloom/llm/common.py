@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.operators.tables import discard
 from orderloom.session import shared_dir
 
 
@@ -22,6 +24,22 @@ def ship(module: str) -> None:
 
 ship(__name__)
 
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of a class of this package, its class included.
+
+    A broadcast names classes by their module, which workers need not have; these bytes hold
+    them. `shared_value` unpacks them once in a worker process.
+    """
+    return spark.sparkContext.broadcast({"data": cloudpickle.dumps(value)})
+
+
+def shared_value(shared: Broadcast) -> object:
+    held = shared.value
+    if "value" not in held:
+        held["value"] = pickle.loads(held["data"])
+    return held["value"]
+
+
 # White space of the word contracts: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 # A side of at most this many narrow rows (about 16 bytes each) may be broadcast.
@@ -42,13 +60,34 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+# Scratch tables made since each `finished` that is under way.
+_MADE: list[list[str]] = []
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: a lost executor loses nothing."""
     path = shared_dir(df.sparkSession, label)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """`scratch` of what `build` returns; the scratch tables made on the way are then deleted."""
+    _MADE.append([])
+    try:
+        df = build()
+        path = shared_dir(spark, label)
+        df.write.parquet(path)
+    finally:
+        for made in _MADE.pop():
+            discard(spark, made)
+    if _MADE:
+        _MADE[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a narrow, already written table for broadcast if its counted rows allow it."""
     counted = df.count() if rows is None else rows

@@ -13,7 +13,7 @@ from the set sizes keep the product small, and lose nothing:
   summed count must reach the overlap needed less what the other columns can hold.
 
 Documents with equal sets are one row of the matrix. The product is taken in three rounds. In the
-first, each document meets the smallest one of its columns, and in the second the largest
+first, each document meets the smallest one of its columns, and in the second one of the largest
 component of its columns; both are checked exactly and link most copies. In the third all pairs
 of a column not yet in one component are counted. So a large group of near copies costs about its
 size, while no link between components is lost. Candidates are decided on their whole sets of
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import (
     bounded_batches,
+    finished,
     row_slices,
     scratch,
     ship,
@@ -55,8 +56,8 @@ PERCENT = 75
 COUNTERS = 1 << 24
 # Rows of the incidence matrix that a task multiplies at a time; one column may hold more.
 GROUP_ROWS = 100_000
-# Documents of a block of whole sets.
-BLOCK_ROWS = 512
+# N-grams of a block of whole sets, about: a bound on bytes, since sets differ in size.
+BLOCK_GRAMS = 1_500_000
 
 
 def text_sets(texts: pa.Array, width: int):
@@ -219,23 +220,25 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def exact_links(
-    candidates: DataFrame, members: DataFrame, docs: DataFrame, width: int, percent: int
+    candidates: DataFrame,
+    members: DataFrame,
+    sizes: DataFrame,
+    docs: DataFrame,
+    width: int,
+    percent: int,
 ) -> DataFrame:
     """(a, b): a link of each candidate (doc_id, group) to one document of the group, if any.
 
     `members`: (group, doc_id). The documents of a group are linked already, so one link is
-    enough. Groups are cut into blocks of rows and the candidates of a group into blocks too;
-    the whole sets of a pair of blocks are multiplied in one task, which returns links only.
+    enough. Groups are cut into blocks by the n-grams they hold and the candidates of a group
+    into blocks too; the whole sets of a pair of blocks are multiplied in one task, which returns
+    links only. `sizes`: (doc_id, grams), a written table.
     """
     candidates = scratch(candidates.select("doc_id", "group").distinct(), "candidates")
+    blocks = F.ceil(F.sum("grams") / BLOCK_GRAMS).cast("int")
     sized = (
-        candidates.groupBy("group").agg(F.count("*").alias("askers"))
-        .join(members.groupBy("group").agg(F.count("*").alias("held")), "group")
-        .select(
-            "group",
-            F.ceil(F.col("askers") / BLOCK_ROWS).cast("int").alias("xs"),
-            F.ceil(F.col("held") / BLOCK_ROWS).cast("int").alias("ys"),
-        )
+        candidates.join(sizes, "doc_id").groupBy("group").agg(blocks.alias("xs"))
+        .join(members.join(sizes, "doc_id").groupBy("group").agg(blocks.alias("ys")), "group")
     )
     sized = scratch(sized, "group-sizes")
     asked = scratch(members.join(small(sized), "group"), "members")
@@ -333,8 +336,8 @@ def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def largest_neighbours(cross: DataFrame) -> DataFrame:
-    """(doc_id, group): each document with the component it meets most often as the largest one
-    of a column, other than its own."""
+    """(doc_id, group): each document with the one it meets most often as the first of the
+    largest component of a column, other than its own; the group is that document alone."""
 
     def vote(batches):
         for t in whole_groups(batches, "col"):
@@ -342,12 +345,12 @@ def largest_neighbours(cross: DataFrame) -> DataFrame:
                 np.asarray(t.column(c)) for c in ("col", "doc_id", "root", "members")
             )
             # the largest component of each column first, the smallest root of equal ones
-            order = np.lexsort((root, -members, cols))
+            order = np.lexsort((docs, root, -members, cols))
             cols, docs, root = cols[order], docs[order], root[order]
             start = np.r_[True, cols[1:] != cols[:-1]]
-            head = root[np.maximum.accumulate(np.where(start, np.arange(len(cols)), 0))]
-            other = head != root
-            docs, head = docs[other], head[other]
+            head = np.maximum.accumulate(np.where(start, np.arange(len(cols)), 0))
+            other = root[head] != root
+            docs, head = docs[other], docs[head][other]
             order = np.lexsort((head, docs))
             docs, head = docs[order], head[order]
             at = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (head[1:] != head[:-1])])
@@ -462,8 +465,14 @@ def _follow(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, counters: int = COUNTERS
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text)."""
-    bounded_batches(docs.sparkSession)
+    """(doc_id, n_shingles, component_id) of every row of docs(doc_id, text), a written table."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    return finished(spark, "components", lambda: _components(docs, width, percent, counters))
+
+
+def _components(docs: DataFrame, width: int, percent: int, counters: int) -> DataFrame:
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranks = column_ranks(texts.select("text"), width, counters)
     matrix = scratch(incidence(texts, width, percent, ranks), "incidence")
@@ -485,37 +494,51 @@ def jaccard_components(
     first = first_pairs(columns, percent).select(
         F.col("b").alias("doc_id"), F.col("a").alias("group")
     )
-    leaders = first.select("group", F.col("group").alias("doc_id")).distinct()
-    near = scratch(exact_links(first, leaders, rep_texts, width, percent), "near")
+    grams = F.sum("n").alias("grams")
+    sizes = scratch(reps.groupBy("doc_id").agg(grams), "set-sizes")
+
+    def links_to_one(pairs: DataFrame) -> DataFrame:
+        """Links of candidates to a group of one document, which names it."""
+        pairs = scratch(pairs, "pairs")
+        leaders = pairs.select("group", F.col("group").alias("doc_id")).distinct()
+        return exact_links(pairs, leaders, sizes, rep_texts, width, percent)
+
+    near = finished(spark, "near", lambda: links_to_one(first))
     ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("sets"))
     ends = scratch(ends, "prefix-ends")
 
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Roots of the linked documents, members of all components, columns across them."""
-        roots = components(links)
+        roots = finished(spark, "roots", lambda: components(links))
         found = _follow(ends.withColumn("root", F.col("doc_id")), "root", roots)
         members = found.select(F.col("root").alias("group"), "doc_id")
-        sizes = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-        sizes = small(scratch(sizes, "sizes")).withColumnRenamed("group", "root")
+        large = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+        large = small(scratch(large, "sizes")).withColumnRenamed("group", "root")
         found = scratch(
-            found.join(sizes, "root", "left").withColumn(
+            found.join(large, "root", "left").withColumn(
                 "members", F.coalesce("members", F.lit(1))
             ),
             "documents",
         )
         return roots, members, cross_columns(columns, found)
 
-    # second round: the largest component around each document
+    # second round: a document of the largest component around each document
     _, members, cross = labelled(near)
-    more = exact_links(largest_neighbours(cross), members, rep_texts, width, percent)
-    roots, members, cross = labelled(near.union(scratch(more, "near")))
-    rest = exact_links(cross_candidates(cross, percent), members, rep_texts, width, percent)
+    more = finished(spark, "near", lambda: links_to_one(largest_neighbours(cross)))
+    roots, members, cross = labelled(near.union(more))
+    rest = finished(
+        spark,
+        "rest",
+        lambda: exact_links(
+            cross_candidates(cross, percent), members, sizes, rep_texts, width, percent
+        ),
+    )
     # links between components of the first round, and between the sets of a repeated doc_id
     sets = keyed.select("doc_id", "rep").distinct()
     least = sets.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
     repeated = sets.join(least.where("a <> z"), "doc_id").select("a", F.col("rep").alias("b"))
     between = _follow(_follow(rest.union(repeated), "a", roots), "b", roots)
-    last_roots = components(between)
+    last_roots = finished(spark, "roots", lambda: components(between))
     named = matrix.select("doc_id", F.col("n").alias("n_shingles")).join(
         copies.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left"
     )
