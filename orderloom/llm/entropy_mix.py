@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import WORD, scratch, table
+from orderloom.llm.common import WORD, finished, scratch, small, table
 
 CAP = 3
 SALTS = 1024
@@ -186,41 +186,55 @@ def round_cells(cells: DataFrame, goals: DataFrame, tilts: DataFrame, cap: int)
 
 
 def deal(sized: DataFrame, cells: DataFrame) -> DataFrame:
-    """Gives each document of a cell the floor of its share, and the first by hash one more."""
+    """Gives each document of a cell the floor of its share, and the first by hash one more.
+
+    From narrow rows, the last document of each cell that gets one more is found, through salted
+    groups. It is the only thing the rows themselves are compared with, so they are joined with
+    their cells where they lie, and no text is shuffled; cells beyond the counted bound of a
+    broadcast are joined by shuffle.
+    """
     salt = F.pmod(F.shiftrightunsigned("_hash", 12), F.lit(SALTS)) * (NULL_PARTS + 1)
     part = F.when(F.col("doc_id").isNull(), 1 + F.pmod("_row", F.lit(NULL_PARTS))).otherwise(0)
-    keyed = sized.withColumn("_salt", salt + part)
+    place = (salt + part).alias("_salt")
+    keyed = sized.select("source", "size", "_hash", "_row", place)
     counts = keyed.groupBy("source", "size", "_salt").agg(F.count("*").alias("_k"))
     before = (
         Window.partitionBy("source", "size")
         .orderBy("_salt")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    here = F.col("_s").eqNullSafe(F.col("source")) & (F.col("_z") == F.col("size"))
+    named = cells.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "n", "copies")
     offsets = counts.select(
-        F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("_salt").alias("_p"),
-        F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_before"),
-    ).join(
-        cells.select(F.col("source").alias("_cs"), F.col("size").alias("_cz"), "n", "copies"),
-        F.col("_s").eqNullSafe(F.col("_cs")) & (F.col("_z") == F.col("_cz")),
+        "source", "size", "_salt", "_k", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_before")
+    ).join(named, here).select(
+        "_s", "_z", F.col("_salt").alias("_p"),
+        (F.expr("copies % n") - F.col("_before")).alias("_wanted"), "_k",
     )
+    # the group in which a cell's last extra copy falls, and that document's rank in it
+    groups = scratch(offsets.where("_wanted BETWEEN 1 AND _k"), "mix-groups")
+    inside = keyed.join(small(groups), here & (F.col("_p") == F.col("_salt")))
     rank = F.row_number().over(
-        Window.partitionBy("source", "size", "_salt").orderBy("_hash", "doc_id", "_row")
+        Window.partitionBy("source", "size").orderBy("_hash", "_row")
+    )
+    last = (
+        inside.withColumn("_rank", rank)
+        .where("_rank = _wanted")
+        .select(F.col("source").alias("_ls"), F.col("size").alias("_lz"), F.col("_salt").alias("_lp"),
+                F.col("_hash").alias("_lh"), F.col("_row").alias("_lr"))
+    )
+    shares = scratch(
+        named.join(
+            last, F.col("_s").eqNullSafe(F.col("_ls")) & (F.col("_z") == F.col("_lz")), "left"
+        ).select("_s", "_z", F.expr("copies div n").alias("_base"), "_lp", "_lh", "_lr"),
+        "mix-shares",
     )
+    own, limit = F.struct(place, "_hash", "_row"), F.struct("_lp", "_lh", "_lr")
+    more = F.when(F.col("_lr").isNotNull() & (own <= limit), 1).otherwise(0)
     return (
-        keyed.withColumn("_rank", rank)
-        .join(
-            offsets,
-            F.col("source").eqNullSafe(F.col("_s"))
-            & (F.col("size") == F.col("_z"))
-            & (F.col("_salt") == F.col("_p")),
-        )
-        .withColumn("_base", F.expr("copies div n"))
-        .withColumn(
-            "copies",
-            F.col("_base")
-            + F.when(F.col("_before") + F.col("_rank") <= F.col("copies") % F.col("n"), 1)
-            .otherwise(0),
-        )
+        sized.join(small(shares), here)
+        .withColumn("copies", F.col("_base") + more)
+        .drop("_s", "_z", "_base", "_lp", "_lh", "_lr")
     )
 
 
@@ -258,7 +272,11 @@ def mix(
         .drop("_m"),
         "mix-goals",
     )
-    rounded = scratch(round_cells(cells, goals, newton(cells, goals, cap), cap), "mix-rounded")
+    rounded = finished(
+        docs.sparkSession,
+        "mix-rounded",
+        lambda: round_cells(cells, goals, newton(cells, goals, cap), cap),
+    )
     dealt = deal(sized, rounded)
     return dealt.join(
         goals.select(F.col("source").alias("_g"), F.col("words").alias("source_size"), "target"),
