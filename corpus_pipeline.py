@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import entropy_mix, language_mix, ngram_join, pii_crf, piece_scan
-from orderloom.llm.common import scratch, small, table
+from orderloom.llm.common import finished, scratch, small, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # The share that the language of a document must have in it.
@@ -51,27 +51,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keyed = docs.join(ids, F.col("doc_id") == F.col("_id"), "left").select(
         *COLUMNS, again.alias("_again"), key.alias("_key")
     )
-    groups = ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    found = scratch(
-        groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"),
-        "groups",
-    )
-    names = scratch(keyed.where("_again").select("_key", "doc_id").distinct(), "names")
-    named = found.join(small(names), "_key", "left").withColumn(
-        "doc_id", F.coalesce("doc_id", "_key")
-    )
-    # components are named by their smallest key, which is not of the smallest doc_id in these
-    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("least"))
-    moved = scratch(
-        least.select("component_id", F.col("least._key").alias("_first"))
-        .where("_first <> component_id"),
-        "moved",
-    )
-    dropped = scratch(
-        found.join(small(moved), "component_id", "left")
-        .where("_key <> coalesce(_first, component_id)").select("_key").distinct(),
-        "dropped",
-    )
+
+
+    def copies_to_drop() -> DataFrame:
+        groups = ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+        found = scratch(
+            groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"),
+            "groups",
+        )
+        names = scratch(keyed.where("_again").select("_key", "doc_id").distinct(), "names")
+        named = found.join(small(names), "_key", "left").withColumn(
+            "doc_id", F.coalesce("doc_id", "_key")
+        )
+        # components are named by their smallest key, which is not of the smallest doc_id in these
+        least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("least"))
+        moved = scratch(
+            least.select("component_id", F.col("least._key").alias("_first"))
+            .where("_first <> component_id"),
+            "moved",
+        )
+        return (
+            found.join(small(moved), "component_id", "left")
+            .where("_key <> coalesce(_first, component_id)").select("_key").distinct()
+        )
+
+    dropped = finished(spark, "dropped", copies_to_drop)
     kept = keyed.join(small(dropped), "_key", "left_anti")
     first = F.min(F.struct("lang", "source", "n_chars")).alias("_row")
     copies = kept.where("_again").groupBy("doc_id", "text").agg(first)
@@ -115,5 +119,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = scratch(stage(spark, docs, sf_dir), name)
+        docs = finished(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
