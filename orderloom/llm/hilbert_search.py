@@ -149,6 +149,7 @@ def search(
         F.coalesce(is_query, F.lit(False)).alias("asked"),
     )
     held = scratch(distinct_vectors(rows, k), "vectors")
+    kinds = dict(held.dtypes)  # ids and components keep the types that they come in
     sizes = {r[0]: (r[1], r[2]) for r in held.groupBy(F.size("v")).agg(
         F.count("*"), F.count_if("asked")).collect()}
     fitted = {}
@@ -179,7 +180,7 @@ def search(
             )
 
     placed = held.withColumn("dim", F.size("v")).mapInArrow(
-        place, "key long, v array<float>, ids array<long>, asked boolean, dim int, "
+        place, f"key long, v {kinds['v']}, ids {kinds['ids']}, asked boolean, dim int, "
         "ranges array<int>"
     )
     n_sub = F.element_at(F.create_map(*[F.lit(x) for d in subs for x in (d, subs[d][0])]), F.col("dim")) if subs else F.lit(1)
@@ -247,7 +248,7 @@ def search(
     hits = (
         rows_in.unionByName(asking)
         .groupBy("dim", "curve", "block", "sub", "qsub")
-        .applyInArrow(best, "qkey long, ckey long, score double, ids array<long>")
+        .applyInArrow(best, f"qkey long, ckey long, score double, ids {kinds['ids']}")
     )
     merged = hits.groupBy("qkey", "ckey").agg(
         F.max("score").alias("score"), F.min("ids").alias("ids")

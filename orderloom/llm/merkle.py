@@ -4,9 +4,9 @@ A text is split into sections at blank lines, sections into paragraphs at line e
 paragraphs into leaves: pieces of at most `LEAF` characters that end at a sentence end at the
 latest. A leaf's hash is of its characters, a paragraph's of its leaves, a section's of its
 paragraphs, and the root's of its sections, so equal roots mean equal texts, and two trees that
-differ are walked from the root along differing branches only to the paragraphs that were edited
-(`locate_edits`). The fingerprint is the root and the smallest leaf hashes of the tree, a sketch
-whose share of common values estimates how much of two texts is the same.
+differ are walked from the root along differing branches only to the leaves that were edited
+(`locate_edits`). The fingerprint is the root and a sketch: the smallest of the numbers that the
+leaf hashes give, whose share of common values estimates how much of two texts is the same.
 
 Everything is built from SQL functions. Neighbours by descending doc_id are found within ranges
 of `RANGE` ids; the first text of each range is also handed to the range before it, so no window
@@ -39,8 +39,9 @@ def _digest(level: str, parts: Column) -> Column:
 
 
 def leaves(paragraph: Column) -> Column:
+    """Hashes of the pieces of a paragraph, which joined give the paragraph."""
     return F.transform(
-        F.regexp_extract_all(paragraph, F.lit(_PIECES), F.lit(0)), lambda x: F.xxhash64(x)
+        F.regexp_extract_all(paragraph, F.lit(_PIECES), F.lit(0)), lambda x: F.md5(x)
     )
 
 
@@ -49,8 +50,8 @@ def tree(text: Column) -> Column:
     paragraph = F.transform(
         F.split(F.coalesce(text, F.lit("")), "\n\n", -1),
         lambda section: F.transform(
-            F.split(section, "\n", -1),
-            lambda p: F.struct(F.sha2(p, 256).alias("hash"), leaves(p).alias("leaves")),
+            F.transform(F.split(section, "\n", -1), leaves),
+            lambda held: F.struct(_digest("paragraph", held).alias("hash"), held.alias("leaves")),
         ),
     )
     return F.transform(
@@ -67,13 +68,14 @@ def root(tree_column: Column) -> Column:
 
 
 def sketch(tree_column: Column) -> Column:
-    """The smallest distinct leaf hashes, in order."""
+    """The smallest distinct numbers that leaf hashes give, in order."""
     found = F.flatten(
         F.transform(
             tree_column, lambda s: F.flatten(F.transform(s["paragraphs"], lambda p: p["leaves"]))
         )
     )
-    return F.slice(F.array_sort(F.array_distinct(found)), 1, SKETCH)
+    numbers = F.transform(found, lambda x: F.xxhash64(x))
+    return F.slice(F.array_sort(F.array_distinct(numbers)), 1, SKETCH)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -92,10 +94,18 @@ def as_text(root_column: Column, sketch_column: Column) -> Column:
 
 
 def locate_edits(a: Column, b: Column) -> Column:
-    """(section, paragraph) places, from 0, whose digests differ between two trees.
+    """(section, paragraph, leaves) places, from 0, whose digests differ between two trees.
 
-    Only sections that differ are looked into.
+    Only sections that differ are looked into, and of these only paragraphs that differ.
     """
+    none = F.array().cast("array<string>")
+
+    def pieces(x: Column, y: Column) -> Column:
+        x, y = F.coalesce(x["leaves"], none), F.coalesce(y["leaves"], none)
+        most = F.greatest(F.size(x), F.size(y))
+        places = F.when(most > 0, F.sequence(F.lit(0), most - 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda k: ~F.get(x, k).eqNullSafe(F.get(y, k)))
+
     sections = F.sequence(F.lit(0), F.greatest(F.size(a), F.size(b)) - 1)
 
     def inside(i: Column) -> Column:
@@ -106,7 +116,14 @@ def locate_edits(a: Column, b: Column) -> Column:
         changed = F.filter(
             places, lambda j: ~F.get(x, j)["hash"].eqNullSafe(F.get(y, j)["hash"])
         )
-        return F.transform(changed, lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
+        return F.transform(
+            changed,
+            lambda j: F.struct(
+                i.alias("section"),
+                j.alias("paragraph"),
+                pieces(F.get(x, j), F.get(y, j)).alias("leaves"),
+            ),
+        )
 
     differ = F.filter(sections, lambda i: ~F.get(a, i)["hash"].eqNullSafe(F.get(b, i)["hash"]))
     return F.flatten(F.transform(differ, inside))

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from orderloom.llm.common import bounded_batches, scratch, ship, table
+from orderloom.llm.common import bounded_batches, scratch, share, shared_value, ship, table
 
 ship(__name__)
 
@@ -47,6 +47,8 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 65_536
 BLOCK = 256  # chunks whose matrices are combined in one task
 CACHE = 300_000
+# Parts of one that a fractional piece score is kept to.
+SCALE = 1 << 20
 SPACE, LITERAL = "▁", "\udc00"  # the second stands for a literal U+2581 in a text
 NONE = np.int64(-(1 << 60))
 
@@ -88,14 +90,17 @@ class Vocabulary:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces, byte_ids, lowest = [], [0] * 256, 0
+        scores = [sp.get_score(i) for i in range(sp.get_piece_size())]
+        # log-probabilities differ by fractions: whole numbers of 2^-20; ranks are whole already
+        scale = 1 if all(x == round(x) for x in scores) else SCALE
         for i in range(sp.get_piece_size()):
             if sp.is_byte(i):
                 byte_ids[int(sp.id_to_piece(i)[1:-1], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                score = round(sp.get_score(i))
+                score = round(scores[i] * scale)
                 pieces.append((sp.id_to_piece(i), i, score))
                 lowest = min(lowest, score)
-        return cls(pieces, byte_ids, lowest - 10)
+        return cls(pieces, byte_ids, lowest - 10 * scale)
 
     def fallback(self, c: str) -> list[int]:
         return [self.byte_ids[b] for b in (SPACE if c == LITERAL else c).encode()]
@@ -345,7 +350,7 @@ def scan(rows: DataFrame, width: int, forward: bool) -> DataFrame:
 def encode_giants(giants: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK) -> DataFrame:
     """(key, tokens) from distinct (key, text)."""
     spark = giants.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = share(spark, vocabulary)
     size = vocabulary.longest
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +379,7 @@ def encode_giants(giants: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK)
     )
 
     def per_chunk(batches, work, kind):
-        coder = Coder(shared.value)
+        coder = Coder(shared_value(shared))
         for batch in batches:
             found = []
             for row in batch.to_pylist():
@@ -436,7 +441,7 @@ def encode(
     """`docs` without the text, with tokens, their number, and the digest of the decoded tokens."""
     bounded_batches(docs.sparkSession)
     vocabulary = Vocabulary.load(model_file)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
     added = {f.name for f in ADDED}
     kept = [f for f in docs.schema.fields if f.name != text and f.name not in added]
     names = [f.name for f in kept]
@@ -456,7 +461,7 @@ def encode(
         )
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder = Coder(shared_value(shared))
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
@@ -464,7 +469,7 @@ def encode(
                 yield finish(part, [None if t is None else coder.encode(t) for t in texts], coder)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder = Coder(shared_value(shared))
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from orderloom.llm.common import bounded_batches, ship, table
+from orderloom.llm.common import bounded_batches, share, shared_value, ship, table
 
 ship(__name__)
 
@@ -433,7 +433,7 @@ def find(docs: DataFrame, model: Crf | None = None, mask: bool = False) -> DataF
     """`docs` with the counts and digest of base spans and all spans; mask: text is replaced."""
     bounded_batches(docs.sparkSession)
     model = model or train(labelled_table())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     names = {f.name for f in FOUND}
     kept = [f for f in docs.schema.fields if f.name not in names]
 
@@ -450,7 +450,7 @@ def find(docs: DataFrame, model: Crf | None = None, mask: bool = False) -> DataF
                 part = rows[lo : lo + 512]
                 texts = column.take(pa.array(part)).to_pylist()
                 base = [base_spans(t) for t in texts]
-                more = crf_spans(texts, shared.value, base)
+                more = crf_spans(texts, shared_value(shared), base)
                 for i, text, b, m in zip(part.tolist(), texts, base, more):
                     for _, kind, _ in b:
                         counts[kind, i] += 1

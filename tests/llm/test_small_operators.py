@@ -177,7 +177,43 @@ def test_differing_branches_locate_the_edited_paragraphs(spark):
     places = df.select(
         merkle.locate_edits(merkle.tree(F.col("a")), merkle.tree(F.col("b"))).alias("p")
     ).first()
-    assert [tuple(x) for x in places.p] == [(1, 1), (3, 0)]
+    assert [tuple(x) for x in places.p] == [(1, 1, [0]), (3, 0, [0])]
+
+
+def test_edits_are_located_down_to_the_leaf(spark):
+    a = "First sentence. Second one here. A third one.\nother"
+    b = "First sentence. Second one there. A third one.\nother"
+    df = spark.createDataFrame([(a, b), (a, a)], "a string, b string")
+    trees = [merkle.tree(F.col(c)) for c in "ab"]
+    found = df.select(merkle.locate_edits(*trees).alias("p"), *[merkle.root(t) for t in trees])
+    first, same = found.collect()
+    assert [tuple(x) for x in first.p] == [(0, 0, [1])] and first[1] != first[2]
+    assert same.p == [] and same[1] == same[2]
+
+
+def test_thousands_of_rules_judge_as_brute_force(spark):
+    rng = random.Random(2)
+    word = lambda: rng.choice(["shop", "news", "a1", "blog", "x", "img", "cdn"]) + str(rng.randint(0, 40))
+    hosts = [f"{word()}.{word()}.{rng.choice(['com', 'org', 'net'])}" for _ in range(900)]
+    rules = {f"{h}/{rng.choice(['', word(), word() + '/'])}" for h in hosts for _ in range(3)}
+    rules |= {h.partition(".")[2] + "/" for h in hosts[:200]}
+    listed = [url_filters.host_rule(rng.choice(["allow", "block"]), r) for r in sorted(rules)]
+    assert len(listed) > 2000
+    urls = [
+        f"https://{rng.choice(['', 'www.', 'm.'])}{rng.choice(hosts)}/{rng.choice([word(), word() + '/p', ''])}"
+        for _ in range(400)
+    ] + [None, "no scheme", "http://", f"http://{hosts[0].upper()}/?q"]
+    rules_ = spark.createDataFrame(listed, url_filters.RULES)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for row in url_filters.judge(pages, rules_).collect():
+        fits = [
+            (-len(r), r, action)
+            for r, _, action, *_ in listed
+            if (row.host == r.partition("/")[0] or row.host.endswith("." + r.partition("/")[0]))
+            and row.path.startswith("/" + r.partition("/")[2])
+        ]
+        best = min(fits, default=(0, None, None))
+        assert (row.rule, row.action) == best[1:], row
 
 
 # ---- mixing ----------------------------------------------------------------------------------
@@ -283,3 +319,17 @@ def test_the_curve_visits_neighbouring_cells():
     assert sorted(key) == list(range(len(grid)))
     walk = grid[np.argsort(key)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+def test_search_keeps_double_vectors_and_other_id_types(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 6))
+    df = spark.createDataFrame(
+        [(i, [float(v) for v in x[i]]) for i in range(60)], "vec_id int, embedding array<double>"
+    )
+    found = hilbert_search.search(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=3)
+    assert dict(found.dtypes)["vec_id"] == "int"
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for row in found.collect():
+        assert abs(row.score - unit[row.query_id] @ unit[row.vec_id]) < 1e-12
+    assert found.count() == 9

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import struct
 import re
 from collections import Counter
 
@@ -404,3 +405,54 @@ def test_stages_of_an_empty_table(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, small)
     assert docs.count() == 0
+
+
+def unigram_file(path, pieces):
+    """A piece model of the unigram kind with byte fallback, as its format writes it."""
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def field(number, data):
+        return varint(number << 3 | 2) + varint(len(data)) + data
+
+    def flag(number, value):
+        return varint(number << 3) + varint(value)
+
+    def piece(text, score, kind):
+        return field(1, field(1, text.encode()) + varint(2 << 3 | 5) + struct.pack("<f", score) + flag(3, kind))
+
+    held = [piece("<unk>", 0, 2)] + [piece(f"<0x{b:02X}>", 0, 6) for b in range(256)]
+    held += [piece(p, s, 1) for p, s in pieces.items()]
+    trainer = flag(3, 1) + flag(35, 1)
+    normalizer = field(1, b"identity") + flag(3, 1) + flag(4, 0) + flag(5, 1)
+    path.write_bytes(b"".join(held) + field(2, trainer) + field(3, normalizer))
+
+
+def test_a_unigram_model_gives_the_tokens_of_its_library(spark, small, tmp_path):
+    import sentencepiece
+
+    rng = random.Random(11)
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").limit(60).collect()]
+    pieces = {c: -12.0 - rng.random() for c in sorted(set("".join(texts))) if c.isalpha()}
+    pieces["▁"] = -11.5
+    for text in texts:
+        for word in text.split(" ")[:80]:
+            for _ in range(3):
+                a = rng.randrange(len(word) or 1)
+                part = ("▁" if a == 0 else "") + word[a : a + rng.randint(1, 5)]
+                if "\n" not in part and len(part) > 1:
+                    pieces.setdefault(part, -4.0 - 7 * rng.random())
+    unigram_file(tmp_path / "u.model", pieces)
+    file = str(tmp_path / "u.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=file)
+    coder = piece_scan.Coder(piece_scan.Vocabulary.load(file))
+    same = [list(coder.encode(t)) == sp.encode(t) for t in texts]
+    assert sum(same) >= 59, same  # sums of the library are 32-bit floats: near ties may differ
+    docs = spark.createDataFrame(list(enumerate(texts[:8])), "doc_id long, text string")
+    whole = {r.doc_id: r.tokens for r in piece_scan.encode(docs, model_file=file).collect()}
+    cut = {r.doc_id: r.tokens for r in piece_scan.encode(docs, model_file=file, chunk=64).collect()}
+    assert whole == cut
