@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -183,8 +182,21 @@ def shape(word: str) -> str:
     return "".join(out)
 
 
-@lru_cache(1 << 16)
+# Features of words seen lately. A wrapped function would be pickled by its name alone, which
+# workers without the package cannot find.
+_KNOWN: dict[str, tuple[int, ...]] = {}
+
+
 def features(word: str) -> tuple[int, ...]:
+    found = _KNOWN.get(word)
+    if found is None:
+        if len(_KNOWN) >= 1 << 16:
+            _KNOWN.clear()
+        found = _KNOWN[word] = _features(word)
+    return found
+
+
+def _features(word: str) -> tuple[int, ...]:
     bare = word.strip(".,;:!?")
     form = shape(bare)
     n = sum(c.isdigit() for c in bare)
