@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# HotSpot compiles no method above 8000 bytes of bytecode; a stage that would generate one runs
+# faster as separate operators than interpreted. Spark's own default is 65535.
+HOTSPOT_LIMIT = "8000"
 # Results depend on the time zone; the rest only steers the physical plan.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 RECOMMENDED = {
@@ -17,18 +20,21 @@ RECOMMENDED = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Streamed sessions of one key are merged before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    # HotSpot compiles no method above 8000 bytes of bytecode; a stage that would generate one
-    # runs faster as separate operators than interpreted.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.codegen.hugeMethodLimit": HOTSPOT_LIMIT,
     # Call-site capture for every column expression makes building wide plans slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings that change results. Everything else stays as the cluster set it."""
+    """Pin the settings that change results, and the limit on generated methods if the cluster
+    names none: wide decodes run many times longer interpreted. The rest stays as the cluster
+    set it."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, HOTSPOT_LIMIT)
     return spark
 
 
