@@ -89,7 +89,6 @@ def demand_by_day(events: DataFrame) -> DataFrame:
         *demand_measures(),
         F.max(F.col("actor_type") == "customer").alias("_self"),
     )
-    # Item first, then day: the order stock is grouped in, so that joining both moves neither.
     return per_customer.groupBy("sku", "activity_date").agg(
         *[F.sum(m).alias(m) for m in measures],
         F.count("customer_key").alias("distinct_customers"),
@@ -123,40 +122,57 @@ def supply_eow(inventory: DataFrame) -> DataFrame:
 
 
 def _demand_and_stock_by_day(demand_daily: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Demand and stock of the same item and day side by side; either may be missing."""
+    """Demand and stock of the same item and day side by side; either may be missing.
+
+    Both are rows of one aggregation. A join would hold the aggregates and the sorted rows of
+    both sides in one task.
+    """
     sums = ["item_views", "cart_adds", "cart_removes", "cart_add_qty"]
-    demand = (
-        demand_daily.withColumn(
-            "item_views", F.col("item_detail_views") + F.col("image_enlarge_views")
-        )
-        .groupBy(F.col("sku").alias("prtnum"), F.col("activity_date").alias("day"))
+    stocks = ["shippable_qty", "on_hand_qty", "planned_qty", "pnd_rcvqty"]
+    demand = demand_daily.withColumn(
+        "item_views", F.col("item_detail_views") + F.col("image_enlarge_views")
+    ).select(
+        F.col("sku").alias("prtnum"),
+        F.col("activity_date").alias("day"),
+        *sums,
+        F.col("distinct_customers").alias("customers"),
+        F.lit(True).alias("has_demand"),
+    )
+    stock = inventory.select(
+        "prtnum", F.col("snapshot_date").alias("day"), *stocks, F.lit(True).alias("has_stock")
+    )
+    return (
+        demand.unionByName(stock, allowMissingColumns=True)
+        .groupBy("prtnum", "day")
         .agg(
             *[F.sum(c).alias(c) for c in sums],
-            F.max("distinct_customers").alias("customers"),
-            F.lit(True).alias("has_demand"),
+            F.max("customers").alias("customers"),
+            F.max("has_demand").alias("has_demand"),
+            *[F.sum(c).alias(c) for c in stocks],
+            F.max("has_stock").alias("has_stock"),
         )
+        .withColumn("inbound_qty", F.col("planned_qty") + F.col("pnd_rcvqty"))
+        .drop("planned_qty", "pnd_rcvqty")
     )
-    stock = _stock_by_day(inventory).select(
-        "prtnum",
-        F.col("snapshot_date").alias("day"),
-        "shippable_qty",
-        "on_hand_qty",
-        (F.col("planned_qty") + F.col("pnd_rcvqty")).alias("inbound_qty"),
-        F.lit(True).alias("has_stock"),
-    )
-    return demand.join(stock, ["prtnum", "day"], "full")
+
+
+def _dated_item() -> Column:
+    """Demand and stock without an item or a day are not of the same one."""
+    return F.col("prtnum").isNotNull() & F.col("day").isNotNull()
 
 
 def oos_overlap(demand_daily: DataFrame, inventory: DataFrame) -> DataFrame:
     """Demand of each item week that fell on a day without shippable stock."""
-    both = _demand_and_stock_by_day(demand_daily, inventory).filter("has_demand and has_stock")
+    both = _demand_and_stock_by_day(demand_daily, inventory).filter(
+        F.col("has_demand") & F.col("has_stock") & _dated_item()
+    )
     return both.groupBy("prtnum", clock.week_start("day").alias("week_start")).agg(
         *_oos_measures()
     )
 
 
 def _oos_measures() -> list[Column]:
-    empty = F.col("shippable_qty") <= 0
+    empty = (F.col("shippable_qty") <= 0) & _dated_item()
     return [
         F.sum(F.when(empty, F.coalesce(F.col(source), F.lit(0))).otherwise(0)).alias(out)
         for source, out in (("cart_adds", "cart_adds_while_oos"), ("item_views", "views_while_oos"))
@@ -166,8 +182,8 @@ def _oos_measures() -> list[Column]:
 def demand_supply_weekly(demand_daily: DataFrame, inventory: DataFrame) -> DataFrame:
     """Demand, supply, end-of-week stock and their same-day overlap per item week.
 
-    Demand and stock are joined once, by day, and everything weekly comes out of one
-    aggregation of the joined days.
+    Demand and stock meet once, by day, and everything weekly comes out of one aggregation of
+    these days.
     """
     days = _demand_and_stock_by_day(demand_daily, inventory)
     zero = F.lit(0).cast("bigint")

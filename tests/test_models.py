@@ -565,3 +565,35 @@ def test_scan_reads_only_what_is_needed(models):
     plan = plan_of(events.fct_events(models.spine()).select("entity_id").filter("is_add"))
     assert "ReadSchema: struct<entity_id:bigint,is_add:boolean>" in plan
     assert "PushedFilters: [IsNotNull(is_add), EqualTo(is_add,true)]" in plan
+
+
+def test_demand_and_stock_meet_in_one_aggregation(spark):
+    d1, d2 = T0.date(), T0.date() + timedelta(days=1)
+    daily = spark.createDataFrame(
+        [("10", d1, 2, 1, 1, 0, 3, 2), ("10", d1, 1, 0, 1, 0, 1, 1), ("11", d1, 4, 0, 0, 0, 0, 1),
+         (None, d1, 5, 0, 1, 0, 1, 1)],
+        "sku string, activity_date date, item_detail_views long, image_enlarge_views long, "
+        "cart_adds long, cart_removes long, cart_add_qty long, distinct_customers long",
+    )
+    stock = spark.createDataFrame(
+        [("10", d1, 0, 1, 1, 2), ("10", d2, 6, 7, 1, None), ("12", d1, 3, 3, 0, 0), (None, d1, 0, 0, 0, 0)],
+        "prtnum string, snapshot_date date, shippable_qty long, on_hand_qty long, "
+        "planned_qty long, pnd_rcvqty long",
+    )
+    weekly = demand.demand_supply_weekly(daily, stock)
+    assert "Join" not in weekly._jdf.queryExecution().optimizedPlan().toString()
+    found = {
+        r.prtnum: (r.item_views, r.cart_adds, r.peak_daily_customers, r.demand_active_days,
+                   r.avg_shippable_qty, r.snapshot_days, r.inbound_qty_peak, r.shippable_eow,
+                   r.cart_adds_while_oos, r.views_while_oos)
+        for r in weekly.collect()
+    }
+    assert found == {
+        "10": (4, 2, 2, 1, 3.0, 2, 3, 6, 2, 4),
+        "11": (4, 0, 1, 1, None, 0, None, None, 0, 0),
+        "12": (0, 0, 0, 0, 3.0, 1, 0, 3, 0, 0),
+        # demand and stock without an item are not of the same one
+        None: (5, 1, 1, 1, 0.0, 1, 0, 0, 0, 0),
+    }
+    overlap = demand.oos_overlap(daily, stock).collect()
+    assert [(r.prtnum, r.cart_adds_while_oos, r.views_while_oos) for r in overlap] == [("10", 2, 4)]
