@@ -32,8 +32,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from orderloom.llm.common import (
+    BROADCAST_ROWS,
     bounded_batches,
     finished,
     row_slices,
@@ -167,16 +169,23 @@ def whole_groups(batches, key: str):
         yield held
 
 
-def shared_columns(entries: DataFrame) -> DataFrame:
-    """(col, doc_id, n, at, first, first_n, first_at): columns of at least two documents.
+def _runs(cols: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Where runs begin in rows sorted by column and set size: rows of one column whose sizes
+    follow each other within the size bound. Sets of two runs never link through the column."""
+    return np.r_[True, (cols[1:] != cols[:-1]) | (100 * n[:-1] < percent * n[1:])]
 
-    `first` is the smallest set of the column.
+
+def shared_columns(entries: DataFrame, percent: int) -> DataFrame:
+    """(col, doc_id, n, at, first, first_n, first_at): columns of at least two documents whose
+    sizes allow a link.
+
+    `first` is the smallest set of the column's run of sizes.
     """
 
     def keep(batches):
         for t in whole_groups(batches, "col"):
             cols = np.asarray(t.column("col"))
-            start = np.r_[True, cols[1:] != cols[:-1]]
+            start = _runs(cols, np.asarray(t.column("n")), percent)
             head = np.maximum.accumulate(np.where(start, np.arange(len(cols)), 0))
             size = np.diff(np.r_[np.flatnonzero(start), len(cols)])
             several = np.repeat(size, size) > 1
@@ -196,9 +205,19 @@ def needed(a: str, b: str, percent: int) -> F.Column:
     return F.ceil((F.col(a) + F.col(b)) * percent / F.lit(100 + percent) - 1e-9)
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(doc_id, cols): the whole sets of the documents in `ids`, from their texts."""
-    texts = docs.join(small(ids), "doc_id", "left_semi").select("doc_id", "text")
+def placed_sets(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
+    """(place, doc_id, cols): the whole sets of documents at each of their places.
+
+    `places`: (doc_id, places), a written table. Sets are made from the texts where these lie
+    if the places can be broadcast, and shuffled once, to their places.
+    """
+    texts = docs.select("doc_id", "text")
+    held = places.count()
+    if held <= BROADCAST_ROWS // 8:
+        placed = texts.join(F.broadcast(places), "doc_id")
+    else:
+        ids = small(places.select("doc_id"), held)
+        placed = texts.join(ids, "doc_id", "left_semi").join(places, "doc_id")
 
     def sets(batches):
         for batch in batches:
@@ -210,13 +229,18 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(done, hi - lo),
+                        batch.column("places").slice(done, hi - lo),
                         pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
                     ],
-                    names=["doc_id", "cols"],
+                    names=["doc_id", "places", "cols"],
                 )
                 done += hi - lo
 
-    return scratch(texts.mapInArrow(sets, "doc_id long, cols array<long>"), "sets")
+    placed = placed.select("doc_id", "text", "places")
+    schema = StructType([f for f in placed.schema if f.name != "text"]).add(
+        "cols", ArrayType(LongType())
+    )
+    return placed.mapInArrow(sets, schema).select(F.explode("places").alias("place"), "doc_id", "cols")
 
 
 def exact_links(
@@ -242,8 +266,6 @@ def exact_links(
     )
     sized = scratch(sized, "group-sizes")
     asked = scratch(members.join(small(sized), "group"), "members")
-    ids = asked.select("doc_id").union(candidates.select("doc_id")).distinct()
-    sets = whole_sets(docs, scratch(ids, "ends"), width)
     salt = F.xxhash64("doc_id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = (
@@ -281,28 +303,46 @@ def exact_links(
                 b.append(docs_[y[linked.argmax()]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rows.join(sets, "doc_id").groupBy("group", "x", "y").applyInArrow(
-        multiply, "a long, b long"
-    )
+    place = F.struct("group", "x", "y", "asks")
+    places = scratch(rows.groupBy("doc_id").agg(F.collect_list(place).alias("places")), "places")
+    sets = placed_sets(docs, places, width).select("place.*", "doc_id", "cols")
+    return sets.groupBy("group", "x", "y").applyInArrow(multiply, "a long, b long")
 
 
-def first_pairs(columns: DataFrame, percent: int) -> DataFrame:
-    """Each document with the `first` it shares most columns with."""
+# `shared` of a document with several sets, to which no bound but that of sizes applies.
+UNBOUNDED = 1 << 40
+
+
+def first_pairs(columns: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, group): each document with the `first` it shares most columns with, of those
+    that it can link with by the columns that either shares with any document.
+
+    `ends`: (doc_id, last, sets), a written table.
+    """
     room = F.least(
         F.col("n") - F.col("at"), F.col("first_n") - F.col("first_at")
     ) >= needed("n", "first_n", percent)
     votes = (
         columns.where((F.col("doc_id") != F.col("first")) & (100 * F.col("first_n") >= percent * F.col("n")) & room)
         .groupBy("doc_id", "first")
-        .agg(F.count("*").alias("votes"))
+        .agg(F.count("*").alias("votes"), F.max("n").alias("n"), F.max("first_n").alias("first_n"))
+    )
+    held = columns.groupBy("doc_id").agg(F.count("*").alias("_n"))
+    bounds = ends.join(held, "doc_id").select(
+        "doc_id", "last", F.when(F.col("sets") > 1, F.lit(UNBOUNDED)).otherwise(F.col("_n")).alias("shared")
     )
-    return votes.groupBy(F.col("doc_id").alias("b")).agg(
+    other_bounds = bounds.toDF("first", "first_last", "first_shared")
+    rest, first_rest = (F.ceil(F.col(c) * percent / 100 - 1e-9) - 1 for c in ("n", "first_n"))
+    outside = (
+        F.when(F.greatest("shared", "first_shared") >= UNBOUNDED, F.greatest(rest, first_rest))
+        .when(F.col("first_last") < F.col("last"), first_rest)
+        .otherwise(rest)
+    )
+    able = F.least("shared", "first_shared") + outside >= needed("n", "first_n", percent)
+    found = votes.join(bounds, "doc_id").join(other_bounds, "first").where(able)
+    return found.groupBy("doc_id").agg(
         F.max(F.struct("votes", (-F.col("first")).alias("f"))).alias("best")
-    ).select((-F.col("best.f")).alias("a"), "b")
-
-
-# `shared` of a document with several sets, to which no bound but that of sizes applies.
-UNBOUNDED = 1 << 40
+    ).select("doc_id", (-F.col("best.f")).alias("group"))
 
 
 def _outside(rest, last, shared, x, y):
@@ -312,8 +352,18 @@ def _outside(rest, last, shared, x, y):
     return np.where(loose, np.maximum(rest[x], rest[y]), first)
 
 
-def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
-    """Columns that documents of several components hold, with each document's component.
+def _able(n, rest, last, shared, x, y, percent: int):
+    """Whether the pairs (x, y) can link, how many columns they can share outside the
+    multiplied ones, and the overlap they need."""
+    other = _outside(rest, last, shared, x, y)
+    need = -(-percent * (n[x] + n[y]) // (100 + percent))
+    fits = np.minimum(n[x], n[y]) * 100 >= percent * np.maximum(n[x], n[y])
+    return fits & (np.minimum(shared[y], shared[x]) + other >= need), other, need
+
+
+def cross_columns(columns: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """Columns that documents of several components hold, with each document's component, if
+    their sizes allow a link.
 
     `shared` of a document is the number of its columns that are left.
     """
@@ -321,13 +371,13 @@ def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
 
     def mixed(batches):
         for t in whole_groups(batches, "col"):
-            cols, root = np.asarray(t.column("col")), np.asarray(t.column("root"))
-            start = np.flatnonzero(np.r_[True, cols[1:] != cols[:-1]])
+            cols, n, root = (np.asarray(t.column(c)) for c in ("col", "n", "root"))
+            start = np.flatnonzero(_runs(cols, n, percent))
             several = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
             keep = np.repeat(several, np.diff(np.r_[start, len(cols)]))
             yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
 
-    dealt = labelled.repartition("col").sortWithinPartitions("col")
+    dealt = labelled.repartition("col").sortWithinPartitions("col", "n")
     held = scratch(dealt.mapInArrow(mixed, labelled.schema), "cross")
     shared = held.groupBy("doc_id").agg(F.count("*").alias("_n"))
     return held.join(small(shared), "doc_id").withColumn(
@@ -335,22 +385,31 @@ def cross_columns(columns: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def largest_neighbours(cross: DataFrame) -> DataFrame:
+def largest_neighbours(cross: DataFrame, percent: int) -> DataFrame:
     """(doc_id, group): each document with the one it meets most often as the first of the
-    largest component of a column, other than its own; the group is that document alone."""
+    largest component of a column, other than its own; the group is that document alone.
+
+    Only documents that it can link with count, so few of the texts that share some common
+    words become candidates.
+    """
 
     def vote(batches):
         for t in whole_groups(batches, "col"):
-            cols, docs, root, members = (
-                np.asarray(t.column(c)) for c in ("col", "doc_id", "root", "members")
+            cols, docs, root, members, n, last, shared = (
+                np.asarray(t.column(c))
+                for c in ("col", "doc_id", "root", "members", "n", "last", "shared")
             )
             # the largest component of each column first, the smallest root of equal ones
             order = np.lexsort((docs, root, -members, cols))
-            cols, docs, root = cols[order], docs[order], root[order]
+            cols, docs, root, n, last, shared = (
+                v[order] for v in (cols, docs, root, n, last, shared)
+            )
             start = np.r_[True, cols[1:] != cols[:-1]]
             head = np.maximum.accumulate(np.where(start, np.arange(len(cols)), 0))
-            other = root[head] != root
-            docs, head = docs[other], docs[head][other]
+            x = np.flatnonzero(root[head] != root)
+            rest = -(-percent * n // 100) - 1
+            x = x[_able(n, rest, last, shared, x, head[x], percent)[0]]
+            docs, head = docs[x], docs[head[x]]
             order = np.lexsort((head, docs))
             docs, head = docs[order], head[order]
             at = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (head[1:] != head[:-1])])
@@ -400,9 +459,7 @@ def cross_candidates(cross: DataFrame, percent: int) -> DataFrame:
                     end = np.searchsorted(n[lo:hi], 100 * n[x] // percent, side="right")
                     y = np.arange(lo + first, lo + end)
                     y = y[(root[y] != root[x]) & (~lone[y - lo] | (y > x))]
-                    other = _outside(rest, last, shared, x, y)
-                    need = -(-percent * (n[x] + n[y]) // (100 + percent))
-                    able = np.minimum(shared[y], shared[x]) + other >= need
+                    able, other, need = _able(n, rest, last, shared, x, y, percent)
                     y, other, need = y[able], other[able], need[able]
                     if len(y) == 0:
                         continue
@@ -488,12 +545,9 @@ def _components(docs: DataFrame, width: int, percent: int, counters: int) -> Dat
     )
     entries = reps.select("doc_id", "n", F.posexplode("prefix").alias("at", "col"))
     columns = scratch(
-        shared_columns(entries.select("col", "doc_id", "n", "at")), "columns"
+        shared_columns(entries.select("col", "doc_id", "n", "at"), percent), "columns"
     )
     rep_texts = texts.where("doc_id IS NOT NULL")
-    first = first_pairs(columns, percent).select(
-        F.col("b").alias("doc_id"), F.col("a").alias("group")
-    )
     grams = F.sum("n").alias("grams")
     sizes = scratch(reps.groupBy("doc_id").agg(grams), "set-sizes")
 
@@ -503,11 +557,11 @@ def _components(docs: DataFrame, width: int, percent: int, counters: int) -> Dat
         leaders = pairs.select("group", F.col("group").alias("doc_id")).distinct()
         return exact_links(pairs, leaders, sizes, rep_texts, width, percent)
 
-    near = finished(spark, "near", lambda: links_to_one(first))
     ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("sets"))
     ends = scratch(ends, "prefix-ends")
+    near = finished(spark, "near", lambda: links_to_one(first_pairs(columns, ends, percent)))
 
-    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def labelled(links: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Roots of the linked documents, members of all components, columns across them."""
         roots = finished(spark, "roots", lambda: components(links))
         found = _follow(ends.withColumn("root", F.col("doc_id")), "root", roots)
@@ -520,12 +574,13 @@ def _components(docs: DataFrame, width: int, percent: int, counters: int) -> Dat
             ),
             "documents",
         )
-        return roots, members, cross_columns(columns, found)
+        return roots, members, cross_columns(columns, found, percent)
 
     # second round: a document of the largest component around each document
-    _, members, cross = labelled(near)
-    more = finished(spark, "near", lambda: links_to_one(largest_neighbours(cross)))
-    roots, members, cross = labelled(near.union(more))
+    _, members, cross = labelled(near, columns)
+    more = finished(spark, "near", lambda: links_to_one(largest_neighbours(cross, percent)))
+    # columns within one component stay so
+    roots, members, cross = labelled(near.union(more), cross)
     rest = finished(
         spark,
         "rest",

@@ -88,6 +88,35 @@ def test_join_with_repeated_and_null_ids_and_an_empty_table(spark):
     assert ngram_join.jaccard_components(docs_of(spark, [])).count() == 0
 
 
+def test_texts_that_share_only_phrases_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    phrases = [[word() for _ in range(20)] for _ in range(60)]
+    rows = []
+    for i in range(60):  # a fifth of the n-grams of a text are its own, the rest of six phrases
+        rows.append((i, " ".join(w for p in rng.sample(phrases, 6) for w in [*p, word()])))
+    for i in range(6):  # a phrase in a text too long to link with these
+        rows.append((60 + i, " ".join(phrases[i] + [word() for _ in range(400)])))
+    written = Counter()
+    scratch = ngram_join.scratch
+
+    def counted(df, label):
+        out = scratch(df, label)
+        written[label] += out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "scratch", counted)
+    got = ngram_join.jaccard_components(docs_of(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows))
+    assert written["columns"] > 0 and written["candidates"] == 0
+    # links that remain are found where places are joined by shuffle, too
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    near = [(i + 100, t.replace(t.split()[3], "changed", 1)) for i, t in rows]
+    got = ngram_join.jaccard_components(docs_of(spark, rows + near)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows + near))
+    assert written["candidates"] > 0
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
