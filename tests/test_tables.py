@@ -186,6 +186,47 @@ def test_parent_checks_of_warehouse_tables(spark):
     assert failed["unique_wms_shipment_line_ship_line_id"] == (0, "pass")
 
 
+def test_checks_of_keys_rows_and_parents_share_passes(spark, tmp_path):
+    def table(name, schema, values):
+        spark.createDataFrame(values, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    parents = table("parents", "p string, v int", [("a", 1), ("a", None), ("b", 1), (None, 1), (None, 1)])
+    lines = [("a", 1), ("x", 1), ("x", None), (None, 2), (None, 2)]
+    children = table("children", "c string, k int", lines)
+    numbers = table("numbers", "n long", [(1,), (1,), (7,)])
+    shared = [
+        checks.unique_check("unique_p", parents, "p"),
+        checks.not_null_check("not_null_p", parents, "p"),
+        checks.not_null_check("not_null_v", parents, "v"),
+        checks.relationships_check("parent_c", children, "c", parents, "p", "warn"),
+        checks.unique_combination_check("unique_ck", children, ["c", "k"]),
+        checks.not_null_check("not_null_k", children, "k"),
+        checks.unique_check("unique_n", numbers, "n"),
+        # of another type than the parent's key
+        checks.relationships_check("parent_n", numbers, "n", children, "k"),
+    ]
+    alone = [
+        checks.Check(c.name, c.violations, c.severity, per_value=c.per_value) for c in shared
+    ]
+    summary = checks.check_summary(shared)
+    assert rows(summary) == rows(checks.check_summary(alone))
+    assert {(r.check_name, r.failures) for r in summary.collect()} == {
+        ("unique_p", 1), ("not_null_p", 2), ("not_null_v", 1), ("parent_c", 2), ("unique_ck", 1),
+        ("not_null_k", 1), ("unique_n", 1), ("parent_n", 1),
+    }
+    assert rows(checks.failures(shared)) == rows(checks.failures(alone))
+
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    # parents once; children for their key, parent_c and parent_n; numbers for their key and parent_n
+    assert scans(checks.check_summary(shared)) == 6
+    assert scans(checks.failures([shared[0], shared[3]])) == 2
+    none = checks.check_summary([checks.unique_check("u", parents.where("false"), "p")])
+    assert rows(none) == [("u", "error", 0, "pass")]
+
+
 def test_every_warehouse_table_is_staged_as_landed(spark):
     from orderloom.sources.schemas import WMS
 
