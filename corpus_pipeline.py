@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import entropy_mix, language_mix, ngram_join, pii_crf, piece_scan
-from orderloom.llm.common import finished, scratch, small, table
+from orderloom.llm.common import counted, finished, finished_counted, small, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # The share that the language of a document must have in it.
@@ -41,11 +41,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without a doc_id are in no group and stay.
     """
     docs = docs.select(*COLUMNS)
-    repeated = scratch(
+    repeated, repeats = counted(
         docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
         "repeated",
     )
-    ids = small(repeated.select(F.col("doc_id").alias("_id")))
+    ids = small(repeated.select(F.col("doc_id").alias("_id")), repeats)
     again = F.col("_id").isNotNull()
     key = F.when(again, F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))
     keyed = docs.join(ids, F.col("doc_id") == F.col("_id"), "left").select(
@@ -55,28 +55,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     def copies_to_drop() -> DataFrame:
         groups = ngram_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
-        found = scratch(
-            groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id"),
-            "groups",
-        )
-        names = scratch(keyed.where("_again").select("_key", "doc_id").distinct(), "names")
-        named = found.join(small(names), "_key", "left").withColumn(
+        found = groups.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), "component_id")
+        if repeats == 0:
+            # keys are doc_ids, and components are named by the smallest
+            return found.where("_key <> component_id").select("_key").distinct()
+        names = small(*counted(keyed.where("_again").select("_key", "doc_id").distinct(), "names"))
+        named = found.join(names, "_key", "left").withColumn(
             "doc_id", F.coalesce("doc_id", "_key")
         )
         # components are named by their smallest key, which is not of the smallest doc_id in these
         least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("least"))
-        moved = scratch(
+        moved = counted(
             least.select("component_id", F.col("least._key").alias("_first"))
             .where("_first <> component_id"),
             "moved",
         )
         return (
-            found.join(small(moved), "component_id", "left")
+            found.join(small(*moved), "component_id", "left")
             .where("_key <> coalesce(_first, component_id)").select("_key").distinct()
         )
 
-    dropped = finished(spark, "dropped", copies_to_drop)
-    kept = keyed.join(small(dropped), "_key", "left_anti")
+    dropped = finished_counted(spark, "dropped", copies_to_drop)
+    kept = keyed.join(small(*dropped), "_key", "left_anti")
     first = F.min(F.struct("lang", "source", "n_chars")).alias("_row")
     copies = kept.where("_again").groupBy("doc_id", "text").agg(first)
     return (

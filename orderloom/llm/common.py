@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.tables import discard
@@ -73,11 +73,26 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`scratch`, and the number of its rows, counted by the tasks that write them."""
+    seen = Observation()
+    held = scratch(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return held, seen.get["n"]
+
+
 def finished(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
     """`scratch` of what `build` returns; the scratch tables made on the way are then deleted."""
+    return finished_counted(spark, label, build)[0]
+
+
+def finished_counted(
+    spark: SparkSession, label: str, build: Callable[[], DataFrame]
+) -> tuple[DataFrame, int]:
+    """`finished`, and the number of rows, counted by the tasks that write them."""
+    seen = Observation()
     _MADE.append([])
     try:
-        df = build()
+        df = build().observe(seen, F.count(F.lit(1)).alias("n"))
         path = shared_dir(spark, label)
         df.write.parquet(path)
     finally:
@@ -85,13 +100,19 @@ def finished(spark: SparkSession, label: str, build: Callable[[], DataFrame]) ->
             discard(spark, made)
     if _MADE:
         _MADE[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
 
+def small(df: DataFrame, rows: int | None = None, at_most: int | None = None) -> DataFrame:
+    """Mark a narrow, already written table for broadcast if its counted rows allow it.
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark a narrow, already written table for broadcast if its counted rows allow it."""
-    counted = df.count() if rows is None else rows
-    return F.broadcast(df) if counted <= BROADCAST_ROWS else df
+    Rows that the caller knows, or a known bound on them that allows it, are not counted again:
+    each count is a query of its own, whose plan and threads take memory of the driver.
+    """
+    if rows is None and at_most is not None and at_most <= BROADCAST_ROWS:
+        rows = at_most
+    total = df.count() if rows is None else rows
+    return F.broadcast(df) if total <= BROADCAST_ROWS else df
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import scratch
@@ -28,13 +28,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the links (a, b); root is the component's smallest node.
 
     Each round is written to the shared folder. The links shrink to one star per component in
-    a number of rounds that grows with the logarithm of the longest path.
+    a number of rounds that grows with the logarithm of the longest path. A round that changes
+    nothing is the last; the tasks that write a round sum up what tells it from the one before.
     """
-    edges = scratch(edges.where("a <> b").select("a", "b").distinct(), "links")
-    before = None
-    while True:
-        edges = scratch(_small_star(_large_star(edges).distinct()).distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    edges, before = _round(edges.where("a <> b").select(larger, smaller).distinct())
+    while before["n"]:
+        edges, now = _round(_small_star(_large_star(edges).distinct()).distinct())
         if now == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            break
         before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, dict]:
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")
+    held = scratch(edges.observe(seen, F.count(F.lit(1)).alias("n"), total), "links")
+    return held, seen.get

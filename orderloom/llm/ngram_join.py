@@ -30,14 +30,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from orderloom.llm.common import (
     BROADCAST_ROWS,
     bounded_batches,
+    counted,
     finished,
+    finished_counted,
     row_slices,
     scratch,
     ship,
@@ -98,12 +100,14 @@ def column_ranks(texts: DataFrame, width: int, counters: int) -> np.ndarray:
             raw = zstandard.ZstdDecompressor().decompress(packed.as_py())
             total += np.frombuffer(raw, np.uint32)
         ranks = np.minimum(255, 8 * np.log2(total + 1.0)).astype(np.uint8)
-        return pa.table({"lo": group.column("lo")[:1], "ranks": pa.array([ranks.tobytes()], pa.binary())})
+        sent = zstandard.ZstdCompressor(level=1).compress(ranks.tobytes())
+        return pa.table({"lo": group.column("lo")[:1], "ranks": pa.array([sent], pa.binary())})
 
     out = np.zeros(counters, np.uint8)
     packed = texts.mapInArrow(count, "lo long, held binary")
     for row in packed.groupBy("lo").applyInArrow(add, "lo long, ranks binary").toArrow().to_pylist():
-        out[row["lo"] : row["lo"] + chunk] = np.frombuffer(row["ranks"], np.uint8)
+        raw = zstandard.ZstdDecompressor().decompress(row["ranks"])
+        out[row["lo"] : row["lo"] + chunk] = np.frombuffer(raw, np.uint8)
     return out
 
 
@@ -205,14 +209,13 @@ def needed(a: str, b: str, percent: int) -> F.Column:
     return F.ceil((F.col(a) + F.col(b)) * percent / F.lit(100 + percent) - 1e-9)
 
 
-def placed_sets(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
+def placed_sets(docs: DataFrame, places: DataFrame, held: int, width: int) -> DataFrame:
     """(place, doc_id, cols): the whole sets of documents at each of their places.
 
-    `places`: (doc_id, places), a written table. Sets are made from the texts where these lie
-    if the places can be broadcast, and shuffled once, to their places.
+    `places`: (doc_id, places), a written table of `held` rows. Sets are made from the texts
+    where these lie if the places can be broadcast, and shuffled once, to their places.
     """
     texts = docs.select("doc_id", "text")
-    held = places.count()
     if held <= BROADCAST_ROWS // 8:
         placed = texts.join(F.broadcast(places), "doc_id")
     else:
@@ -245,7 +248,7 @@ def placed_sets(docs: DataFrame, places: DataFrame, width: int) -> DataFrame:
 
 def exact_links(
     candidates: DataFrame,
-    members: DataFrame,
+    members: DataFrame | None,
     sizes: DataFrame,
     docs: DataFrame,
     width: int,
@@ -253,23 +256,30 @@ def exact_links(
 ) -> DataFrame:
     """(a, b): a link of each candidate (doc_id, group) to one document of the group, if any.
 
-    `members`: (group, doc_id). The documents of a group are linked already, so one link is
+    `candidates`: distinct rows. `members`: (group, doc_id); without them each group is one
+    document, which names it. The documents of a group are linked already, so one link is
     enough. Groups are cut into blocks by the n-grams they hold and the candidates of a group
     into blocks too; the whole sets of a pair of blocks are multiplied in one task, which returns
     links only. `sizes`: (doc_id, grams), a written table.
     """
-    candidates = scratch(candidates.select("doc_id", "group").distinct(), "candidates")
+    asking = Observation()
+    candidates = candidates.select("doc_id", "group").observe(asking, F.count(F.lit(1)).alias("n"))
+    candidates = scratch(candidates, "candidates")
+    if asking.get["n"] == 0:
+        return candidates.toDF("a", "b")
+    if members is None:
+        members = candidates.select("group", F.col("group").alias("doc_id")).distinct()
     blocks = F.ceil(F.sum("grams") / BLOCK_GRAMS).cast("int")
     sized = (
         candidates.join(sizes, "doc_id").groupBy("group").agg(blocks.alias("xs"))
         .join(members.join(sizes, "doc_id").groupBy("group").agg(blocks.alias("ys")), "group")
     )
-    sized = scratch(sized, "group-sizes")
-    asked = scratch(members.join(small(sized), "group"), "members")
+    sized, groups = counted(sized, "group-sizes")
+    asked = members.join(small(sized, groups), "group")
     salt = F.xxhash64("doc_id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = (
-        candidates.join(small(sized), "group")
+        candidates.join(small(sized, groups), "group")
         .select("group", "doc_id", F.pmod(salt, "xs").cast("int").alias("x"), "ys", F.lit(True).alias("asks"))
         .withColumn("y", every("ys")).drop("ys")
     ).unionByName(
@@ -304,8 +314,8 @@ def exact_links(
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     place = F.struct("group", "x", "y", "asks")
-    places = scratch(rows.groupBy("doc_id").agg(F.collect_list(place).alias("places")), "places")
-    sets = placed_sets(docs, places, width).select("place.*", "doc_id", "cols")
+    places = rows.groupBy("doc_id").agg(F.collect_list(place).alias("places"))
+    sets = placed_sets(docs, *counted(places, "places"), width).select("place.*", "doc_id", "cols")
     return sets.groupBy("group", "x", "y").applyInArrow(multiply, "a long, b long")
 
 
@@ -361,11 +371,14 @@ def _able(n, rest, last, shared, x, y, percent: int):
     return fits & (np.minimum(shared[y], shared[x]) + other >= need), other, need
 
 
-def cross_columns(columns: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+def cross_columns(
+    columns: DataFrame, documents: DataFrame, total: int, percent: int
+) -> DataFrame:
     """Columns that documents of several components hold, with each document's component, if
     their sizes allow a link.
 
-    `shared` of a document is the number of its columns that are left.
+    `total`: the number of documents. `shared` of a document is the number of its columns that
+    are left.
     """
     labelled = columns.select("col", "doc_id", "n").join(documents, "doc_id")
 
@@ -380,7 +393,7 @@ def cross_columns(columns: DataFrame, documents: DataFrame, percent: int) -> Dat
     dealt = labelled.repartition("col").sortWithinPartitions("col", "n")
     held = scratch(dealt.mapInArrow(mixed, labelled.schema), "cross")
     shared = held.groupBy("doc_id").agg(F.count("*").alias("_n"))
-    return held.join(small(shared), "doc_id").withColumn(
+    return held.join(small(shared, at_most=total), "doc_id").withColumn(
         "shared", F.when(F.col("sets") > 1, F.lit(UNBOUNDED)).otherwise(F.col("_n"))
     )
 
@@ -509,9 +522,10 @@ def _summed(found: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _follow(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
-    """Replaces a node by its root, where it has one."""
-    step = small(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
+def _follow(rows: DataFrame, column: str, roots: tuple[DataFrame, int]) -> DataFrame:
+    """Replaces a node by its root, where it has one. `roots`: (node, root) and their number."""
+    found, number = roots
+    step = small(found.select(F.col("node").alias("_node"), F.col("root").alias("_root")), number)
     return (
         rows.join(step, F.col(column) == F.col("_node"), "left")
         .withColumn(column, F.coalesce("_root", column))
@@ -537,44 +551,45 @@ def _components(docs: DataFrame, width: int, percent: int, counters: int) -> Dat
     # equal sets are one row: the class is named by its smallest doc_id
     classes = linkable.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     keyed = linkable.select("doc_id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"])
-    copies = scratch(
+    copies, copied = counted(
         keyed.where("doc_id <> rep").select("doc_id", "k1", "k2", "rep").distinct(), "copies"
     )
     reps = linkable.join(
-        small(copies.select("doc_id", "k1", "k2")), ["doc_id", "k1", "k2"], "left_anti"
+        small(copies.select("doc_id", "k1", "k2"), copied), ["doc_id", "k1", "k2"], "left_anti"
     )
     entries = reps.select("doc_id", "n", F.posexplode("prefix").alias("at", "col"))
     columns = scratch(
         shared_columns(entries.select("col", "doc_id", "n", "at"), percent), "columns"
     )
     rep_texts = texts.where("doc_id IS NOT NULL")
-    grams = F.sum("n").alias("grams")
-    sizes = scratch(reps.groupBy("doc_id").agg(grams), "set-sizes")
+    held, total = counted(
+        reps.groupBy("doc_id").agg(
+            F.max("last").alias("last"), F.count("*").alias("sets"), F.sum("n").alias("grams")
+        ),
+        "prefix-ends",
+    )
+    ends, sizes = held.select("doc_id", "last", "sets"), held.select("doc_id", "grams")
 
     def links_to_one(pairs: DataFrame) -> DataFrame:
         """Links of candidates to a group of one document, which names it."""
-        pairs = scratch(pairs, "pairs")
-        leaders = pairs.select("group", F.col("group").alias("doc_id")).distinct()
-        return exact_links(pairs, leaders, sizes, rep_texts, width, percent)
+        return exact_links(pairs, None, sizes, rep_texts, width, percent)
 
-    ends = reps.groupBy("doc_id").agg(F.max("last").alias("last"), F.count("*").alias("sets"))
-    ends = scratch(ends, "prefix-ends")
     near = finished(spark, "near", lambda: links_to_one(first_pairs(columns, ends, percent)))
 
-    def labelled(links: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def labelled(links: DataFrame, columns: DataFrame):
         """Roots of the linked documents, members of all components, columns across them."""
-        roots = finished(spark, "roots", lambda: components(links))
+        roots = finished_counted(spark, "roots", lambda: components(links))
         found = _follow(ends.withColumn("root", F.col("doc_id")), "root", roots)
-        members = found.select(F.col("root").alias("group"), "doc_id")
-        large = members.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-        large = small(scratch(large, "sizes")).withColumnRenamed("group", "root")
+        large = found.groupBy("root").agg(F.count("*").alias("members")).where("members > 1")
+        large = small(*counted(large, "sizes"))
         found = scratch(
             found.join(large, "root", "left").withColumn(
                 "members", F.coalesce("members", F.lit(1))
             ),
             "documents",
         )
-        return roots, members, cross_columns(columns, found, percent)
+        members = found.select(F.col("root").alias("group"), "doc_id")
+        return roots, members, cross_columns(columns, found, total, percent)
 
     # second round: a document of the largest component around each document
     _, members, cross = labelled(near, columns)
@@ -593,7 +608,7 @@ def _components(docs: DataFrame, width: int, percent: int, counters: int) -> Dat
     least = sets.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
     repeated = sets.join(least.where("a <> z"), "doc_id").select("a", F.col("rep").alias("b"))
     between = _follow(_follow(rest.union(repeated), "a", roots), "b", roots)
-    last_roots = finished(spark, "roots", lambda: components(between))
+    last_roots = finished_counted(spark, "roots", lambda: components(between))
     named = matrix.select("doc_id", F.col("n").alias("n_shingles")).join(
         copies.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left"
     )

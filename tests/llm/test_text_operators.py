@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from orderloom.llm import components as star_contraction
 from orderloom.llm import language_mix, ngram_join, pii_crf, piece_scan, resample
 from orderloom.llm.common import word_hashes
 from orderloom.llm.components import components
@@ -117,6 +118,43 @@ def test_texts_that_share_only_phrases_are_no_candidates(spark, monkeypatch):
     assert written["candidates"] > 0
 
 
+def test_sizes_are_counted_while_tables_are_written(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for i in range(20):
+        base = [rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(rng.randint(9, 60))]
+        rows += [(3 * i, " ".join(base)), (3 * i + 1, " ".join([*base, "z"])), (3 * i + 2, f"{i} alone")]
+    rows += [(3, "another text of a repeated id"), (0, rows[3][1]), (None, rows[0][1])]
+    docs = docs_of(spark, rows)
+
+    def asked(df):
+        raise AssertionError("a query of its own for a count")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(docs), "count", asked)
+        patched.setattr(type(docs), "first", asked)
+        groups = ngram_join.jaccard_components(docs)
+        kept = corpus_pipeline.near_duplicates(spark, docs_of(spark, rows[:60]), "")
+        corpus_pipeline.near_duplicates(spark, docs, "")
+    want = brute_components(rows[:60])
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _, c in want if i == c)
+    held = {(r.doc_id, r.component_id) for r in groups.collect()}
+    assert (4, 0) in held and (1, 0) in held and (None, None) in held
+
+
+def test_components_without_links_and_of_stars_take_no_more_rounds(spark, monkeypatch):
+    written = []
+    kept = star_contraction.scratch
+    monkeypatch.setattr(
+        star_contraction, "scratch", lambda df, label: written.append(label) or kept(df, label)
+    )
+    assert components(spark.createDataFrame([(7, 7)], "a long, b long")).count() == 0
+    assert len(written) == 1
+    got = components(spark.createDataFrame([(1, 4), (1, 9), (9, 1)], "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(4, 1), (9, 1)]
+    assert len(written) == 3
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
