@@ -1,7 +1,9 @@
 import json
 import os
+import time
 from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -177,6 +179,44 @@ def test_models_hold_their_declared_checks(models):
     assert len(summary) > 10 and {r.status for r in summary} == {"pass"}
 
 
+def _shuffle_files(spark):
+    """Shuffle files on the disk of a local session; they are dropped a moment after their query."""
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.name for d in store.localDirsString() for f in Path(d).rglob("shuffle_*")}
+
+
+def _left(spark, before):
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def _keyed_checks(spark, tmp_path):
+    found = []
+    for name in ("a", "b", "c"):
+        path = str(tmp_path / name)
+        spark.range(40).select((F.col("id") % 30).alias("k"), F.lit(name).alias("v")).write.parquet(path)
+        found.append(checks.unique_check(f"unique_{name}", spark.read.parquet(path), "k"))
+    return found
+
+
+def _writes(folder):
+    """The jobs that wrote a folder's files: part-00000-<job>-c000.snappy.parquet."""
+    return {f.name.split("-", 2)[2][:36] for f in Path(folder).rglob("part-*.parquet")}
+
+
+def test_checks_in_turn_hold_the_keys_of_one_table_at_a_time(spark, tmp_path):
+    found = _keyed_checks(spark, tmp_path)
+    before = _shuffle_files(spark)
+    summary = checks.check_summary(found, in_turn=True)
+    assert _left(spark, before) == set()
+    written = summary.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert len(_writes(written)) == 3
+    assert rows(summary) == rows(checks.check_summary(found))
+
+
 def test_parent_checks_of_warehouse_tables(spark):
     lines = spark.createDataFrame([("l1", "s1"), ("l2", "s9")], "ship_line_id string, ship_id string")
     ships = spark.createDataFrame([("s1",)], "ship_id string")
