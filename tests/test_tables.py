@@ -217,6 +217,31 @@ def test_checks_in_turn_hold_the_keys_of_one_table_at_a_time(spark, tmp_path):
     assert rows(summary) == rows(checks.check_summary(found))
 
 
+def test_failures_are_stored_in_turn_and_leave_no_shuffle_files(spark, tmp_path):
+    found = _keyed_checks(spark, tmp_path)
+    before, setting = _shuffle_files(spark), spark.conf.get(tables._DROP_SHUFFLES, None)
+    stored = checks.store_failures(found, str(tmp_path / "failures"))
+    assert _left(spark, before) == set()
+    assert spark.conf.get(tables._DROP_SHUFFLES, None) == setting
+    assert len(_writes(tmp_path / "failures")) == 3
+    assert rows(stored.select(*checks.failures(found).columns)) == rows(checks.failures(found))
+    assert stored.groupBy("check_name").count().count() == 3
+
+
+def test_a_table_of_several_parts_is_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    conditions = {"no_k": F.col("k").isNull()}
+    written = tables.rebuild([df, df, df.where("k = 7")], path, counted=conditions)
+    assert Counter(r.k for r in written.collect()) == {1: 2, None: 2}
+    assert tables.counts(spark, path) == {"no_k": 2}
+    broken = df.select(F.raise_error(F.lit("broken")).cast("int").alias("k"))
+    with pytest.raises(Exception, match="broken"):
+        tables.rebuild([df, broken], path)
+    assert tables.read_table(spark, path).count() == 4
+    assert len([f for f in (Path(path) / "data").iterdir() if not f.name.startswith(".")]) == 1
+
+
 def test_parent_checks_of_warehouse_tables(spark):
     lines = spark.createDataFrame([("l1", "s1"), ("l2", "s9")], "ship_line_id string, ship_id string")
     ships = spark.createDataFrame([("s1",)], "ship_id string")
